@@ -22,9 +22,9 @@ between two writes is simply run again.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
-from datetime import datetime, timezone
+from collections.abc import Sequence
+from dataclasses import dataclass, replace
+from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -151,26 +151,60 @@ def guard_full_refresh(name: str, full_refresh: bool, allow: bool) -> None:
 # -- stored tables ------------------------------------------------------------
 
 
+@dataclass(frozen=True)
+class Partitioning:
+    """How the partition value follows from a key column: by day, month or hash bucket.
+
+    A day is the right grain for a feed of many millions of rows a day; a month
+    keeps files reasonable for a small one. Buckets serve small keyed tables.
+    """
+
+    column: str
+    source: str
+    grain: str
+    buckets: int = 0
+
+    def value(self) -> Column:
+        if self.grain == "bucket":
+            return F.pmod(F.xxhash64(self.source), F.lit(self.buckets)).cast("int")
+        day = day_of(self.source)
+        return day if self.grain == "day" else F.trunc(day, "month").cast("date")
+
+    def on_days(self, days: Sequence[date]) -> Column:
+        """Partition predicate for some days of the source column."""
+        firsts = {d if self.grain == "day" else d.replace(day=1) for d in days}
+        return F.col(self.column).isin(sorted(firsts))
+
+
+def by_day(source: str, column: str = "p_day") -> Partitioning:
+    return Partitioning(column, source, "day")
+
+
+def by_month(source: str) -> Partitioning:
+    return Partitioning("p_month", source, "month")
+
+
+def by_bucket(source: str, buckets: int = 8) -> Partitioning:
+    return Partitioning("p_bucket", source, "bucket", buckets)
+
+
 @dataclass(frozen=True)
 class TableSpec:
-    """A stored table. ``partition_value`` must depend on ``key`` columns only."""
+    """A stored table. Rows of one key always fall into one partition."""
 
     name: str
     key: tuple[str, ...]
-    partition: str
-    partition_value: Callable[[], Column]
+    layout: Partitioning
     sort: tuple[str, ...] = ()
     protected: bool = False
 
+    @property
+    def partition(self) -> str:
+        return self.layout.column
 
-def by_day(ts: str) -> Callable[[], Column]:
-    """Partition by the UTC day of ``ts``."""
-    return lambda: day_of(ts)
-
-
-def by_bucket(key: str, buckets: int = 8) -> Callable[[], Column]:
-    """Partition small keyed tables by a hash bucket of the key."""
-    return lambda: F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+    def monthly(self) -> TableSpec:
+        """The same table with month partitions."""
+        return replace(self, layout=by_month(self.layout.source))
 
 
 class Warehouse:
@@ -266,7 +300,7 @@ class Warehouse:
     def _with_partition(self, spec: TableSpec, df: DataFrame) -> DataFrame:
         if spec.partition in df.columns:
             return df
-        return df.withColumn(spec.partition, spec.partition_value())
+        return df.withColumn(spec.partition, spec.layout.value())
 
     def _write(self, spec: TableSpec, df: DataFrame, mode: str, dynamic: bool) -> None:
         # Rebalancing groups a partition's rows into few files but splits a hot

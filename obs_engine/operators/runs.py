@@ -23,8 +23,8 @@ from obs_engine.schemas import (
 
 MAX_MESSAGE = 4000
 
-STATION_RUNS = TableSpec("ingestion_runs", ("run_id",), "p_bucket", by_bucket("run_id"))
-ARC_RUNS = TableSpec("traffic_ingestion_runs", ("run_key",), "p_bucket", by_bucket("run_key"))
+STATION_RUNS = TableSpec("ingestion_runs", ("run_id",), by_bucket("run_id"))
+ARC_RUNS = TableSpec("traffic_ingestion_runs", ("run_key",), by_bucket("run_key"))
 
 RUN_COLUMNS = (
     "airflow_run_id", "dag_id", "task_id", "started_at", "finished_at", "status",

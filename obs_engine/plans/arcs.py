@@ -45,15 +45,15 @@ ARC_COUNTERS = {
     "Invalide": "invalid_arc_observation_count",
 }
 
-RAW = TableSpec("raw_road_traffic", KEY, "p_day", by_day("observed_at"))
-DIM = TableSpec("dim_road_arcs", ("arc_id",), "p_bucket", by_bucket("arc_id"))
+RAW = TableSpec("raw_road_traffic", KEY, by_day("observed_at"))
+DIM = TableSpec("dim_road_arcs", ("arc_id",), by_bucket("arc_id"))
 FACT = TableSpec(
-    "fct_road_traffic", ("observation_id",), "p_day", by_day("observed_at"),
+    "fct_road_traffic", ("observation_id",), by_day("observed_at"),
     sort=KEY, protected=True,
 )
 DAILY = TableSpec(
-    "agg_road_traffic_daily", ("daily_traffic_id",), "observation_date",
-    lambda: F.col("observation_date"), sort=("arc_id",), protected=True,
+    "agg_road_traffic_daily", ("daily_traffic_id",), by_day("observation_date", column="observation_date"),
+    sort=("arc_id",), protected=True,
 )
 
 

@@ -62,6 +62,10 @@ def callables() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: bind(fn) for name, fn in QUERIES.items()}
 
 
+# The station stand-in spans seven years with few rows a day: stored by month.
+STATION_RAW, STATION_FACT = stations.RAW.monthly(), stations.FACT.monthly()
+
+
 def _warehouse(x: Inputs, label: str) -> merge.Warehouse:
     """A new warehouse in the shared folder."""
     return merge.Warehouse(x.spark, work_path(x.spark, label))
@@ -572,8 +576,8 @@ def stored_delete_insert(x: Inputs) -> DataFrame:
 def table_rebuilt(x: Inputs) -> DataFrame:
     """A full refresh, read back; a second refresh replaces the first."""
     wh = _warehouse(x, "rebuild")
-    wh.rebuild(stations.RAW, x.station_raw)
-    table = wh.rebuild(stations.RAW, wh.read(stations.RAW))
+    wh.rebuild(STATION_RAW, x.station_raw)
+    table = wh.rebuild(STATION_RAW, wh.read(STATION_RAW))
     return table.groupBy("stationcode").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -625,9 +629,9 @@ def stored_failures(x: Inputs) -> DataFrame:
 def table_statistics(x: Inputs) -> DataFrame:
     """Optimizer statistics recomputed for a stored table."""
     wh = _warehouse(x, "stats")
-    wh.rebuild(stations.RAW, x.station_raw)
-    wh.refresh_stats([stations.RAW])
-    described = x.spark.sql(f"DESCRIBE EXTENDED {stations.RAW.name}")
+    wh.rebuild(STATION_RAW, x.station_raw)
+    wh.refresh_stats([STATION_RAW])
+    described = x.spark.sql(f"DESCRIBE EXTENDED {STATION_RAW.name}")
     rows = F.regexp_extract("data_type", r"(\d+) rows", 1).cast("long")
     return described.filter("col_name = 'Statistics'").select(rows.alias("n_rows"))
 
@@ -1441,11 +1445,11 @@ WHERE status_updated_at >= {_CUTS['station_fact']}""",
 def retention_purged_days(x: Inputs) -> DataFrame:
     """Purged facts do not come back with the next increment."""
     wh = _warehouse(x, "purge")
-    wh.rebuild(stations.FACT, x.station_fact)
+    wh.rebuild(STATION_FACT, x.station_fact)
     rule = retention.rules(_POLICY, STATION_AS_OF)["station_fact"]
-    wh.delete_where(rule.spec, rule.expired())
-    incremental.load_increment(wh, stations.FACT, x.station_fact)
-    return wh.read(stations.FACT).select("observation_id", "station_id", "status_updated_at")
+    wh.delete_where(STATION_FACT, rule.expired())
+    incremental.load_increment(wh, STATION_FACT, x.station_fact)
+    return wh.read(STATION_FACT).select("observation_id", "station_id", "status_updated_at")
 
 
 @query(
@@ -1459,8 +1463,8 @@ def snapshot_row_counts(x: Inputs) -> DataFrame:
     wh = _warehouse(x, "snapshot")
     wh.rebuild(arcs.RAW, x.arc_raw)
     wh.rebuild(arcs.DAILY, x.arc_daily)
-    wh.rebuild(stations.RAW, x.station_raw)
-    manifest = snapshot.snapshot(wh, work_path(x.spark, "copy"), snapshot.REQUIRED)
+    wh.rebuild(STATION_RAW, x.station_raw)
+    manifest = snapshot.snapshot(wh, work_path(x.spark, "copy"))
     return x.spark.createDataFrame(
         [(name, t["n_rows"]) for name, t in manifest.items()], "table STRING, n_rows LONG"
     )
@@ -1505,15 +1509,11 @@ def stream_upsert(x: Inputs) -> DataFrame:
 
 
 _EVENT_DAY = merge.TableSpec(
-    "event_days", ("user_id", "observation_date"), "observation_date",
-    lambda: F.col("observation_date"),
-)
-_EVENT_LATEST = merge.TableSpec(
-    "event_latest", ("user_id",), "p_bucket", merge.by_bucket("user_id")
-)
-_EVENT_FIRST = merge.TableSpec(
-    "event_first", ("user_id", "hour"), "p_day", merge.by_day("hour")
+    "event_days", ("user_id", "observation_date"),
+    merge.by_day("observation_date", column="observation_date"),
 )
+_EVENT_LATEST = merge.TableSpec("event_latest", ("user_id",), merge.by_bucket("user_id"))
+_EVENT_FIRST = merge.TableSpec("event_first", ("user_id", "hour"), merge.by_day("hour"))
 
 
 @query(

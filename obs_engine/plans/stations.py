@@ -60,16 +60,16 @@ DESCRIPTION = (
 )
 
 RAW = TableSpec(
-    "raw_stations", ("stationcode", "last_reported"), "p_day", by_day("last_reported"),
+    "raw_stations", ("stationcode", "last_reported"), by_day("last_reported"),
 )
-DIM = TableSpec("dim_stations", ("station_id",), "p_bucket", by_bucket("station_id"))
+DIM = TableSpec("dim_stations", ("station_id",), by_bucket("station_id"))
 FACT = TableSpec(
-    "fct_station_status", ("observation_id",), "p_day", by_day("status_updated_at"),
+    "fct_station_status", ("observation_id",), by_day("status_updated_at"),
     sort=("station_id", "status_updated_at"), protected=True,
 )
 DAILY = TableSpec(
-    "agg_station_daily", ("daily_station_id",), "observation_date",
-    lambda: F.col("observation_date"), sort=("station_id",), protected=True,
+    "agg_station_daily", ("daily_station_id",), by_day("observation_date", column="observation_date"),
+    sort=("station_id",), protected=True,
 )
 
 
