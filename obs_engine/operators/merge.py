@@ -273,7 +273,9 @@ class Warehouse:
         Files written before a column was added read it as NULL, and columns
         dropped since are not read, so a schema change rewrites nothing (S12).
         """
-        df = self.spark.read.schema(self.schema(spec)).parquet(self.path(spec))
+        schema = self.schema(spec)
+        # A partition column is read last; the declared order is kept instead.
+        df = self.spark.read.schema(schema).parquet(self.path(spec)).select(*schema.fieldNames())
         technical = spec.partition.startswith(TECHNICAL)
         return df.drop(spec.partition) if technical and not with_partition else df
 

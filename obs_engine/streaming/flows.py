@@ -11,11 +11,11 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from obs_engine.operators.dedup import dedup_last, latest_per_key, rank_of
 from obs_engine.operators.merge import TableSpec, Warehouse
-from obs_engine.sources.pages import page_schema, records_of
+from obs_engine.sources.pages import pages_of, records_of
 
 
 def stream_files(
@@ -37,7 +37,8 @@ def stream_files(
 
 def stream_records(spark: SparkSession, path: str, record: StructType) -> DataFrame:
     """Records of landed pages (``lines`` layout) as a stream."""
-    return records_of(stream_files(spark, path, page_schema(record), "json"))
+    lines = stream_files(spark, path, StructType([StructField("value", StringType())]), "text")
+    return records_of(pages_of(lines, "value", record))
 
 
 def event_time(df: DataFrame, ts: str) -> DataFrame:
