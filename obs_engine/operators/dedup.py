@@ -1,54 +1,62 @@
 """One row per key.
 
-All of these are aggregates, not windows: ``max_by`` keeps one candidate row per
-key and map task before the shuffle, so a key holding a third of the table
-still sends a handful of rows to its reducer, and no sort by the order columns
-is needed.
+Two plans, both safe for a key holding a third of the table:
+
+* ``latest_per_key``, for few keys with many rows each: the maximum of one
+  struct. Each map task sends one row per key; no sort by the order columns.
+* ``one_row_per_key``, for keys that are almost unique: ``row_number() = 1``,
+  which Spark trims to one row per key *before* the shuffle (window group
+  limit), so even a key repeated without end costs its reducer one row per map
+  task. Cheaper than the aggregate when nearly every row survives.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def rank_of(latest: Sequence[str], ties: Sequence[str] = ()) -> Column:
-    """A sortable value: larger means preferred.
+def _others(df: DataFrame, *used: Sequence[str]) -> list[str]:
+    taken = {c for group in used for c in group}
+    return [c for c in df.columns if c not in taken]
 
-    ``latest`` columns rank like ``ORDER BY c DESC NULLS FIRST``; ``ties`` break
-    what is left, largest first with NULLs last, so the choice never depends on
-    row order.
-    """
-    parts = []
-    for c in latest:
-        parts += [F.col(c).isNull(), F.col(c)]
-    parts += [F.col(c) for c in ties]
-    return F.struct(*[p.alias(f"r{i}") for i, p in enumerate(parts)])
 
+def rank_struct(latest: Sequence[str], rest: Sequence[str]) -> Column:
+    """A row as a sortable struct, larger means preferred.
 
-def _tie_columns(df: DataFrame, key: Sequence[str], latest: Sequence[str]) -> list[str]:
-    used = {*key, *latest}
-    return [c for c in df.columns if c not in used]
+    ``latest`` columns rank like ``ORDER BY c DESC NULLS FIRST``; ``rest`` break
+    ties, largest first with NULLs last, so the choice never depends on row
+    order. Every column occurs once: the winner is read back from the struct.
+    """
+    marks = [F.col(c).isNull().alias(f"_null_{c}") for c in latest]
+    parts = [p for c, mark in zip(latest, marks) for p in (mark, F.col(c))]
+    return F.struct(*parts, *[F.col(c) for c in rest])
 
 
 def latest_per_key(
-    df: DataFrame,
-    key: Sequence[str],
-    latest: Sequence[str],
-    ties: Sequence[str] | None = None,
+    df: DataFrame, key: Sequence[str], latest: Sequence[str], ties: Sequence[str] = ()
+) -> DataFrame:
+    """The preferred row of each key (W2-W4); further ties fall to the other columns."""
+    rest = [*ties, *_others(df, key, latest, ties)]
+    best = df.groupBy(*key).agg(F.max(rank_struct(latest, rest)).alias("best"))
+    return best.select(*[c if c in key else F.col(f"best.{c}") for c in df.columns])
+
+
+def one_row_per_key(
+    df: DataFrame, key: Sequence[str], latest: Sequence[str], ties: Sequence[str] | None = None
 ) -> DataFrame:
-    """The preferred row of each key (W1-W4). Ties default to every other column."""
-    ties = _tie_columns(df, key, latest) if ties is None else ties
-    rest = [c for c in df.columns if c not in key]
-    best = F.max_by(F.struct(*rest), rank_of(latest, ties)).alias("best")
-    return df.groupBy(*key).agg(best).select(*key, "best.*").select(*df.columns)
+    """The same choice for nearly unique keys."""
+    ties = _others(df, key, latest) if ties is None else ties
+    order = [F.desc_nulls_first(c) for c in latest] + [F.desc_nulls_last(c) for c in ties]
+    rank = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
+    return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
 
 
 def dedup_last(records: DataFrame, key: Sequence[str], lineage: Sequence[str]) -> DataFrame:
-    """The last occurrence of each key in fetch order."""
-    return latest_per_key(records, key, lineage, ties=())
+    """The last occurrence of each key in fetch order, which has no ties."""
+    return one_row_per_key(records, key, lineage, ties=())
 
 
 def latest_with_span(
@@ -63,16 +71,16 @@ def latest_with_span(
     ``span`` maps a column to the names of its minimum and maximum. Both come
     out of the same aggregation, so the table is shuffled once.
     """
-    ties = [c for c in keep if c not in key and c not in latest]
-    best = F.max_by(F.struct(*[c for c in keep if c not in key]), rank_of(latest, ties))
+    rest = [c for c in keep if c not in key and c not in latest]
     bounds = [
         agg
         for c, (low, high) in span.items()
         for agg in (F.min(c).alias(low), F.max(c).alias(high))
     ]
     names = [n for pair in span.values() for n in pair]
-    grouped = df.groupBy(*key).agg(best.alias("best"), *bounds)
-    return grouped.select(*key, "best.*", *names)
+    best = F.max(rank_struct(latest, rest)).alias("best")
+    grouped = df.groupBy(*key).agg(best, *bounds)
+    return grouped.select(*[c if c in key else F.col(f"best.{c}") for c in keep], *names)
 
 
 def first_last_per_key(df: DataFrame, key: Sequence[str], cols: Sequence[str]) -> DataFrame:
@@ -84,4 +92,4 @@ def first_last_per_key(df: DataFrame, key: Sequence[str], cols: Sequence[str]) -
 
 def clean_raw(raw: DataFrame, key: Sequence[str], load_order: Sequence[str]) -> DataFrame:
     """Repair of a raw table: no NULL keys, the latest stored row per key."""
-    return latest_per_key(raw.dropna(subset=list(key)), key, load_order)
+    return one_row_per_key(raw.dropna(subset=list(key)), key, load_order)

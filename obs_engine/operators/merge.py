@@ -105,9 +105,24 @@ def action_counts(classified: DataFrame) -> DataFrame:
 def upserted(
     target: DataFrame, batch: DataFrame, key: Sequence[str], compare: Sequence[str]
 ) -> DataFrame:
-    """Target after the upsert; unchanged rows keep their stored load columns."""
-    changed = classify(target, batch, key, compare).filter(F.col(ACTION) != UNCHANGED).drop(ACTION)
-    return delete_inserted(target, changed, key)
+    """Target after the upsert; unchanged rows keep their stored load columns.
+
+    One full outer join of two tables unique on ``key``: each side is read and
+    shuffled once. ``Warehouse.upsert`` is the form for a small batch and a
+    large stored target.
+    """
+    columns = batch.columns
+    old = conform(target, batch.schema).select(*key, F.struct(*columns).alias("_old"))
+    new = batch.select(*key, F.struct(*columns).alias("_new"))
+
+    def compared(side: str) -> Column:
+        return F.struct(*[F.col(f"{side}.{c}").alias(c) for c in compare])
+
+    keep_old = F.col("_new").isNull() | (
+        F.col("_old").isNotNull() & compared("_old").eqNullSafe(compared("_new"))
+    )
+    row = F.when(keep_old, F.col("_old")).otherwise(F.col("_new")).alias("_row")
+    return old.join(new, list(key), "full_outer").select(row).select("_row.*")
 
 
 def delete_inserted(target: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:

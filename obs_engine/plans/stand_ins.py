@@ -208,7 +208,7 @@ class Inputs:
 
     @cached_property
     def station_current(self) -> DataFrame:
-        return stations.station_current(self.station_staged, STATION_AS_OF)
+        return stations.station_current(stations.named_stations(self.station_raw), STATION_AS_OF)
 
     # runs
 

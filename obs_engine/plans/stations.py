@@ -19,7 +19,7 @@ from obs_engine.functions.metrics import (
 )
 from obs_engine.functions.parsing import json_or_text
 from obs_engine.operators.aggregates import daily_aggregate
-from obs_engine.operators.dedup import latest_per_key, latest_with_span
+from obs_engine.operators.dedup import latest_per_key, latest_with_span, one_row_per_key
 from obs_engine.operators.merge import TableSpec, by_bucket, by_day
 from obs_engine.schemas import STATION_RAW
 
@@ -88,8 +88,8 @@ def transform_station(records: DataFrame, ingested_at: datetime | None = None) -
     return out.select(*STATION_RAW.fieldNames())
 
 
-def stage_stations(raw: DataFrame) -> DataFrame:
-    """Renamed, flagged and reduced to one row per station and instant."""
+def named_stations(raw: DataFrame) -> DataFrame:
+    """Renamed and flagged raw rows, duplicates included."""
     named = raw.filter(F.col("stationcode").isNotNull()).select(
         *[F.col(old).alias(new) for old, new in _RENAMED.items()],
         flag("is_installed").alias("is_installed"),
@@ -98,14 +98,18 @@ def stage_stations(raw: DataFrame) -> DataFrame:
         F.col("last_reported").cast("timestamp_ntz").alias("status_updated_at"),
         F.col("ingested_at").cast("timestamp_ntz").alias("loaded_at"),
     )
-    order = [
+    return named.select(
         "station_id", "station_name", "is_installed", "total_capacity", "docks_available",
         "bikes_available", "mechanical_bikes", "electric_bikes", "is_renting_active",
         "is_returning_active", "commune", "insee_code", "longitude", "latitude",
         "status_updated_at", "loaded_at",
-    ]
-    return latest_per_key(
-        named.select(*order), ["station_id", "status_updated_at"], ["loaded_at"]
+    )
+
+
+def stage_stations(raw: DataFrame) -> DataFrame:
+    """One row per station and instant, the latest loaded one."""
+    return one_row_per_key(
+        named_stations(raw), ["station_id", "status_updated_at"], ["loaded_at"]
     )
 
 
@@ -178,13 +182,15 @@ def station_daily(fact: DataFrame) -> DataFrame:
     )
 
 
-def station_current(staged: DataFrame, as_of: datetime | None = None) -> DataFrame:
+def station_current(rows: DataFrame, as_of: datetime | None = None) -> DataFrame:
     """Latest observed status per station, with its age.
 
-    The latest row is chosen first; keys and labels are computed on one row per
-    station.
+    ``rows`` may still hold duplicates: the latest instant and then the latest
+    load is the row that staging would have kept, so the view is taken straight
+    from ``named_stations`` without the staging shuffle. Keys and labels are
+    computed on one row per station.
     """
-    latest = latest_per_key(staged, ["station_id"], ["status_updated_at", "loaded_at"])
+    latest = latest_per_key(rows, ["station_id"], ["status_updated_at", "loaded_at"])
     return station_fact(latest).withColumns(
         {
             "data_age_minutes": data_age_minutes("loaded_at", as_of),

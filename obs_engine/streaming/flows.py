@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
-from obs_engine.operators.dedup import dedup_last, latest_per_key, rank_of
+from obs_engine.operators.dedup import dedup_last, latest_per_key
 from obs_engine.operators.merge import TableSpec, Warehouse
 from obs_engine.sources.pages import pages_of, records_of
 
@@ -89,10 +89,8 @@ def append_new_stream(
     """Insert-if-absent with unbounded memory: the table itself is the state."""
 
     def insert(batch: DataFrame, _: int) -> None:
-        rest = [c for c in batch.columns if c not in spec.key]
-        earliest = batch.groupBy(*spec.key).agg(
-            F.min_by(F.struct(*rest), rank_of(first)).alias("row")
-        )
+        rest = [c for c in batch.columns if c not in spec.key and c not in first]
+        earliest = batch.groupBy(*spec.key).agg(F.min(F.struct(*first, *rest)).alias("row"))
         warehouse.insert_ignore(spec, earliest.select(*spec.key, "row.*"))
 
     return each_batch(df, insert, checkpoint, **options)

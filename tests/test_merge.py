@@ -242,4 +242,17 @@ def test_a_hot_key_is_one_row_per_task_before_the_shuffle(spark):
         "if(id % 3 = 0, 0, id % 50) as k", "id as ts", "id % 7 as v"
     )
     plan = dedup.latest_per_key(df, ["k"], ["ts"])._jdf.queryExecution().executedPlan().toString()
-    assert "partial_max_by" in plan and "Window" not in plan
+    assert "partial_max" in plan and "Window" not in plan
+    plan = dedup.one_row_per_key(df, ["k"], ["ts"])._jdf.queryExecution().executedPlan().toString()
+    before_shuffle = plan.split("Exchange")[1]
+    assert "WindowGroupLimit" in before_shuffle and "Partial" in before_shuffle
+
+
+def test_both_dedup_plans_choose_the_same_row(spark):
+    df = spark.range(5_000).selectExpr(
+        "id % 40 as k", "if(id % 11 = 0, null, id % 13) as ts", "if(id % 7 = 0, null, id % 5) as v",
+        "id % 3 as w",
+    )
+    a = dedup.latest_per_key(df, ["k"], ["ts"])
+    b = dedup.one_row_per_key(df, ["k"], ["ts"])
+    assert rows(a.fillna(-1)) == rows(b.fillna(-1))
