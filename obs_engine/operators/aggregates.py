@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from obs_engine.functions.keys import day_of
@@ -72,14 +72,12 @@ def duplicate_keys(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def share_of_total(df: DataFrame, by: str, metric: Column, name: str, limit: int) -> DataFrame:
     """Metric per category with its share of the total, largest first.
 
-    The total is summed over the one-row-per-category result and joined back as
-    a single row.
+    The total is a window over the aggregated result, one row per category.
     """
     grouped = df.groupBy(by).agg(metric.alias(name))
-    total = grouped.agg(F.sum(name).alias("total"))
+    share = F.col(name) / F.sum(name).over(Window.partitionBy())
     return (
-        grouped.crossJoin(total)  # the total is one row
-        .select(by, name, (F.col(name) / F.col("total")).alias("share"))
+        grouped.select(by, name, share.alias("share"))
         .orderBy(F.desc(name), F.asc_nulls_last(by))
         .limit(limit)
     )
@@ -121,16 +119,21 @@ def pivot_series(
     return out if limit is None else out.limit(limit)
 
 
+def side_by_side(*rows: DataFrame) -> DataFrame:
+    """One-row results with different columns as one row: a union, then one maximum each."""
+    united = rows[0]
+    for row in rows[1:]:
+        united = united.unionByName(row, allowMissingColumns=True)
+    return united.agg(*[F.max(c).alias(c) for c in united.columns])
+
+
 def count_preview(counts: Mapping[str, tuple[DataFrame, Column | None]]) -> DataFrame:
     """Several table counts in one row (A17): each table is counted once."""
-    row: DataFrame | None = None
+    rows = []
     for name, (df, condition) in counts.items():
         hits = F.count(F.lit(1)) if condition is None else F.count_if(condition)
-        one = df.agg(hits.alias(name))
-        row = one if row is None else row.crossJoin(one)  # one row each
-    if row is None:
-        raise ValueError("nothing to count")
-    return row
+        rows.append(df.agg(hits.alias(name)))
+    return side_by_side(*rows)
 
 
 def top_k(df: DataFrame, newest: str, n: int, ties: Sequence[str] = ()) -> DataFrame:

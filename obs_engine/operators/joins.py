@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obs_engine.functions.keys import day_of
+from obs_engine.operators.aggregates import side_by_side
 
 
 def affected_days(fact: DataFrame, entity: str, ts: str, day: str = "observation_date") -> DataFrame:
@@ -73,6 +74,5 @@ def counts_differ(
     expected: DataFrame, current: DataFrame, names: tuple[str, str]
 ) -> DataFrame:
     """Compare two one-row, one-column counts; the row is returned when they differ."""
-    left = expected.toDF(names[0])
-    right = current.toDF(names[1])
-    return left.crossJoin(right).filter(F.col(names[0]) != F.col(names[1]))  # one row each
+    both = side_by_side(expected.toDF(names[0]), current.toDF(names[1]))
+    return both.filter(F.col(names[0]) != F.col(names[1]))

@@ -358,15 +358,12 @@ def page_figures(x: Inputs) -> DataFrame:
         landed, records, pages.ARC_REQUIRED, False, pages.MAX_RECORDS_PER_QUERY
     )
     n = F.count(F.lit(1))
-    faults = [
+    return agg.side_by_side(
+        pages.fetch_stats(landed, records, pages.ARC_REQUIRED),
         pages.validate_pages(landed).agg(n.alias("faulty_pages")),
         pages.require_fields(records, pages.ARC_REQUIRED).agg(n.alias("incomplete_records")),
         incomplete.agg(n.alias("incomplete_chunks")),
-    ]
-    out = pages.fetch_stats(landed, records, pages.ARC_REQUIRED)
-    for one in faults:
-        out = out.crossJoin(one)  # one row each
-    return out
+    )
 
 
 _FORMS = """CASE event_id % 6 WHEN 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') || 'Z'
@@ -469,14 +466,10 @@ def chunk_row_counts(x: Inputs) -> DataFrame:
     bounds = hourly.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"))
     chunks = windows.chunks_between(bounds, "lo", "hi")
     per_hour = hourly.groupBy("ts").agg(F.count(F.lit(1)).alias("n"))
+    low, high = (F.lit(t) for t in bounds.first())  # date_trunc gives instants
+    numbers = windows.chunk_numbers(F.col("ts"), low, high)
     counted = (
-        per_hour.crossJoin(bounds)  # bounds is one row
-        .select(
-            F.explode(windows.chunk_numbers(F.col("ts"), F.col("lo"), F.col("hi"))).alias(
-                "chunk_no"
-            ),
-            "n",
-        )
+        per_hour.select(F.explode(numbers).alias("chunk_no"), "n")
         .groupBy("chunk_no")
         .agg(F.sum("n").alias("n"))
     )
@@ -856,7 +849,7 @@ def stored_incremental_daily(x: Inputs) -> DataFrame:
     wh = _warehouse(x, "incremental")
     for batch in (x.arc_raw, x.arc_batch):
         wh.upsert(arcs.RAW, batch, arcs.COMPARED)
-        incremental.load_increment(wh, arcs.FACT, arcs.stage_arcs(wh.read(arcs.RAW)))
+        incremental.load_increment(wh, arcs.FACT, wh.read(arcs.RAW), arcs.stage_arcs)
         incremental.refresh_daily(wh, arcs.FACT, arcs.DAILY, "arc_id", arcs.arc_daily)
     return wh.read(arcs.DAILY).select(*_DAILY_COLUMNS)
 
@@ -1406,10 +1399,10 @@ FROM all_runs WHERE pipeline_name = 'Trafic routier' AND status IN ('success', '
 def serve_filtered(x: Inputs) -> DataFrame:
     """Dashboard filters; an empty selection means everything."""
     chosen = {"pipeline_name": ["Trafic routier"], "status": ["success", "failed"], "dag_id": []}
-    return (
-        serve.success_rate(x.all_runs, chosen)
-        .crossJoin(serve.run_count(x.all_runs, chosen))  # one row each
-        .crossJoin(serve.records_received(x.all_runs, chosen))
+    return agg.side_by_side(
+        serve.success_rate(x.all_runs, chosen),
+        serve.run_count(x.all_runs, chosen),
+        serve.records_received(x.all_runs, chosen),
     )
 
 
@@ -1513,7 +1506,7 @@ def retention_purged_days(x: Inputs) -> DataFrame:
     wh.rebuild(STATION_FACT, x.station_fact)
     rule = retention.rules(_POLICY, STATION_AS_OF)["station_fact"]
     wh.delete_where(STATION_FACT, rule.expired())
-    incremental.load_increment(wh, STATION_FACT, x.station_fact)
+    incremental.load_increment(wh, STATION_FACT, x.station_raw, stations.fact_of_raw)
     return wh.read(STATION_FACT).select("observation_id", "station_id", "status_updated_at")
 
 

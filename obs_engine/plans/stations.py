@@ -148,6 +148,11 @@ def station_fact(staged: DataFrame) -> DataFrame:
     )
 
 
+def fact_of_raw(raw: DataFrame) -> DataFrame:
+    """Raw rows of one load, or of all, to fact rows."""
+    return station_fact(stage_stations(raw))
+
+
 def station_daily(fact: DataFrame) -> DataFrame:
     """Daily availability per station (A1)."""
     whole = lambda c: F.col(c).cast("decimal(10,0)")

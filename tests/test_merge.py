@@ -221,7 +221,7 @@ def test_incremental_equals_rebuild_and_replay_changes_nothing(spark, tmp_path_f
         assert first.received == len(load)
         replay = wh.upsert(arcs.RAW, frame, arcs.COMPARED)
         assert (replay.inserted, replay.updated) == (0, 0)
-        incremental.load_increment(wh, arcs.FACT, arcs.stage_arcs(wh.read(arcs.RAW)))
+        incremental.load_increment(wh, arcs.FACT, wh.read(arcs.RAW), arcs.stage_arcs)
         incremental.refresh_daily(wh, arcs.FACT, arcs.DAILY, "arc_id", arcs.arc_daily)
     raw = wh.read(arcs.RAW)
     stored = {
