@@ -21,6 +21,7 @@ between two writes is simply run again.
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
@@ -444,11 +445,19 @@ class Warehouse:
             self.delete_path(f"{self.path(spec)}/{part}={value}")
         return sum(r["gone"] for r in tally)
 
-    def register(self, spec: TableSpec, name: str | None = None) -> str:
+    @property
+    def database(self) -> str:
+        """Catalog database of this warehouse, so its tables never shadow or replace others."""
+        return "obs_" + hashlib.md5(self.root.encode()).hexdigest()[:12]
+
+    def register(self, spec: TableSpec) -> str:
         """Expose the table in the session catalog (external, with its partitions)."""
-        name = name or spec.name
+        name = f"{self.database}.{spec.name}"
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema(spec).fields)
-        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.spark.sql(
+            f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION '{self.root}/_catalog'"
+        )
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: the files stay
         self.spark.sql(
             f"CREATE TABLE {name} ({ddl}) USING parquet PARTITIONED BY ({spec.partition}) "
             f"LOCATION '{self.path(spec)}'"

@@ -625,7 +625,7 @@ def table_statistics(x: Inputs) -> DataFrame:
     wh = _warehouse(x, "stats")
     wh.rebuild(STATION_RAW, x.station_raw)
     wh.refresh_stats([STATION_RAW])
-    described = x.spark.sql(f"DESCRIBE EXTENDED {STATION_RAW.name}")
+    described = x.spark.sql(f"DESCRIBE EXTENDED {wh.database}.{STATION_RAW.name}")
     rows = F.regexp_extract("data_type", r"(\d+) rows", 1).cast("long")
     return described.filter("col_name = 'Statistics'").select(rows.alias("n_rows"))
 

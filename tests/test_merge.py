@@ -133,7 +133,10 @@ def test_delete_where_rewrites_and_drops_partitions(spark, warehouse, tmp_path):
 def test_statistics_and_catalog_registration(spark, warehouse):
     warehouse.insert_ignore(SPEC, batch(spark, ("a", at(1), 1, at(1)), ("a", at(2), 1, at(1))))
     warehouse.refresh_stats([SPEC])
-    assert spark.sql("select * from obs where v = 1").count() == 2
+    spark.createDataFrame([(1,)], "v int").createOrReplaceTempView("obs")
+    warehouse.refresh_stats([SPEC])  # the view of the same name is left alone
+    assert spark.table("obs").count() == 1
+    assert spark.sql(f"select * from {warehouse.database}.obs where v = 1").count() == 2
 
 
 class FakeSession:
