@@ -425,10 +425,15 @@ class Warehouse:
         """Replace every key of ``new``."""
         return self._merge(spec, new, compare=None, update=True)
 
-    def delete_where(self, spec: TableSpec, expired: Column) -> int:
-        """Delete rows; rewrites only partitions that hold some, drops emptied ones."""
+    def delete_where(self, spec: TableSpec, expired: Column, within: Column | None = None) -> int:
+        """Delete rows; rewrites only partitions that hold some, drops emptied ones.
+
+        ``within`` names the partitions that can hold such rows, when known.
+        """
         part = spec.partition
         table = self.read(spec, with_partition=True)
+        if within is not None:
+            table = table.filter(within)
         tally = (
             table.groupBy(part)
             .agg(F.count(F.lit(1)).alias("n"), F.count_if(expired).alias("gone"))

@@ -6,8 +6,8 @@ engine-neutral by ``portable``.
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
-from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -1505,7 +1505,8 @@ def retention_purged_days(x: Inputs) -> DataFrame:
     wh = _warehouse(x, "purge")
     wh.rebuild(STATION_FACT, x.station_fact)
     rule = retention.rules(_POLICY, STATION_AS_OF)["station_fact"]
-    wh.delete_where(STATION_FACT, rule.expired())
+    rule = dataclasses.replace(rule, spec=STATION_FACT)
+    wh.delete_where(STATION_FACT, rule.expired(), rule.old_partitions())
     incremental.load_increment(wh, STATION_FACT, x.station_raw, stations.fact_of_raw)
     return wh.read(STATION_FACT).select("observation_id", "station_id", "status_updated_at")
 

@@ -1,6 +1,6 @@
 """Keyed merges into stored tables."""
 
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from hypothesis import HealthCheck, Phase, given, settings
@@ -75,6 +75,18 @@ def test_only_changed_partitions_are_rewritten(spark, warehouse, tmp_path):
     assert before[2] < files(2)  # only gained one
 
 
+def test_merges_prune_partitions_and_increments_reach_the_scan(spark, warehouse):
+    warehouse.upsert(SPEC, batch(spark, *[("a", at(d), 1, at(d)) for d in (1, 2, 3)]), ["v"])
+    table = warehouse.read(SPEC, with_partition=True)
+    near = table.filter(SPEC.layout.on_days([at(2).date()]))
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(p_day" in plan
+    fresh = merge.newer_than(table, "loaded", datetime(2026, 7, 2, tzinfo=timezone.utc))
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(loaded,2026-07-02T00:00" in plan
+    assert [r["id"] for r in fresh.collect()] == ["a"]
+
+
 def test_empty_batch_changes_nothing(spark, warehouse):
     warehouse.upsert(SPEC, batch(spark, ("a", at(1), 1, at(1))), ["v"])
     assert warehouse.upsert(SPEC, batch(spark), ["v"]) == MergeResult(0, 0, 0, 0)

@@ -182,8 +182,8 @@ def test_incremental_window(utc):
     assert windows.incremental_window(None, now)[0] == utc(2026, 7, 18, 6)
     assert windows.incremental_window(utc(2026, 7, 18, 9), now)[0] == utc(2026, 7, 18, 7)
     assert windows.incremental_window(utc(2026, 7, 19), now)[0] == now
-    paris = timezone(timedelta(hours=2))
-    assert windows.incremental_window(None, datetime(2026, 7, 18, 14, tzinfo=paris))[1] == now
+    summer = timezone(timedelta(hours=2))
+    assert windows.incremental_window(None, datetime(2026, 7, 18, 14, tzinfo=summer))[1] == now
     with pytest.raises(ValueError):
         windows.incremental_window(None, datetime(2026, 7, 18))
 
