@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obs_engine.llm import near_dedup
+from obs_engine.llm import near_dedup, packing, token_counts
 from obs_engine.llm.common import table
 
 
@@ -14,5 +14,25 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(docs, size=3, num=85, den=100)
 
 
-QUERIES = {f.__name__: f for f in (op3_near_duplicates,)}
+def tokenizer(name: str) -> str:
+    """A public tokenizer file; where it lies is a parameter of the operators."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = token_counts.zipf_vocabulary(tokenizer("piece_bpe_32k.model"))
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary)
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.cut(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+    pieces = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.pack(pieces).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
+    )
+
+
+QUERIES = {f.__name__: f for f in (op3_near_duplicates, op4_token_counts, op5_packing)}
 ORACLES: dict[str, str] = {}
