@@ -5,10 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obs_engine.llm import near_dedup, packing, token_counts
+from obs_engine.llm import language_id, near_dedup, packing, sharding, token_counts, toxicity
 from obs_engine.llm.common import table
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data = F.coalesce("text", F.lit("")).cast("binary")
+    rows = table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(data) + 16).cast("long").alias("size"), F.crc32(data).alias("text_crc32"), "source"
+    )
+    return sharding.interleave(rows, 40).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "source",
+    )
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_dedup.near_duplicates(docs, size=3, num=85, den=100)
@@ -34,5 +49,14 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op3_near_duplicates, op4_token_counts, op5_packing)}
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_sharding, op2_language_id, op3_near_duplicates, op4_token_counts, op5_packing, op10_toxicity,
+    )
+}
 ORACLES: dict[str, str] = {}
