@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obs_engine.llm import language_id, near_dedup, packing, sharding, token_counts, toxicity
+from obs_engine.llm import decontaminate, language_id, near_dedup, neighbours, packing, pii, sharding, token_counts, toxicity
 from obs_engine.llm.common import table
 
 
@@ -49,6 +49,27 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Key of the pseudonyms the query writes; a production run passes its own secret.
+PII_KEY = "corpus-2026"
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, PII_KEY)
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -56,7 +77,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_sharding, op2_language_id, op3_near_duplicates, op4_token_counts, op5_packing, op10_toxicity,
+        op1_sharding, op2_language_id, op3_near_duplicates, op4_token_counts, op5_packing,
+        op6_pii, op8_decontamination, op9_neighbours, op10_toxicity,
     )
 }
 ORACLES: dict[str, str] = {}
