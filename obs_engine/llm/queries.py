@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obs_engine.llm import decontaminate, language_id, near_dedup, neighbours, packing, pii, sharding, token_counts, toxicity
+from obs_engine.llm import decontaminate, language_id, near_dedup, neighbours, packing, pii, repeats, sharding, token_counts, toxicity
 from obs_engine.llm.common import table
 
 
@@ -58,6 +58,14 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(docs, PII_KEY)
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -78,7 +86,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_sharding, op2_language_id, op3_near_duplicates, op4_token_counts, op5_packing,
-        op6_pii, op8_decontamination, op9_neighbours, op10_toxicity,
+        op6_pii, op7_repeats, op8_decontamination, op9_neighbours, op10_toxicity,
     )
 }
 ORACLES: dict[str, str] = {}
