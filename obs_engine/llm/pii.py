@@ -9,7 +9,7 @@ documents, and the key's owner can reverse it (``reverse=True``).
 Two networks do this, each of ten rounds with SHA-2 of key, kind and round as the round
 function: one on pairs of numbers below two bounds, one on the halves of a string whose
 positions each have an alphabet. Everything is built-in SQL functions; there is one scan
-and no shuffle, and only texts with a digit or an at sign are searched.
+and no shuffle, and only texts with a digit or one of a few marks are searched.
 
 Edge cases: null and empty texts stay as they are. A value that fails its check (Luhn,
 remainder, calendar) is not one of the kind and stays. Other columns pass unchanged.
@@ -26,6 +26,8 @@ ROUNDS = 10
 PATTERNS = {
     "email": r"(?<![\w.%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "account": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "password": r"(?<![A-Za-z0-9])(?:[Pp]assword|[Pp]asswd|[Ss]ecret|[Tt]oken|[Aa]pi_?[Kk]ey) ?[=:] ?\"?[A-Za-z0-9][A-Za-z0-9_+/.-]{6,127}(?![A-Za-z0-9])",
+    "access": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
     "secret": r"(?<![A-Za-z0-9])[0-9a-f]{32,128}(?![A-Za-z0-9])",
     "date": r"(?<![0-9A-Za-z./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9A-Za-z])(?![./-][0-9])",
     "address": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9])(?!\.[0-9])",
@@ -126,6 +128,10 @@ def pseudonym(key: str, reverse: bool) -> str:
         "z", f"concat(substr(m, 1, 2), lpad(cast(98 - {remainder_97("concat(w, substr(m, 1, 2), '00')")} as string), 2, '0'), w)",
         refilled("m", "z", "[A-Z0-9]"))))
     account = f"if({remainder_97('concat(substr(' + bare + ', 5), substr(m, 1, 4))')} = 1, {bban}, m)"
+    # Hexadecimal values stay so, and are linked whether or not a name stands before them.
+    hidden = let("h", "regexp_extract(m, '^[A-Za-z_]+ ?[=:] ?\"?', 0)", let("v", "substr(m, length(h) + 1)", (
+        f"concat(h, {sym('v', 'if(v rlike ' + quoted('^[0-9a-f]+$') + ', repeat(' + quoted('x') + ', length(v)), ' + marks('v') + ')', 'secret')})")))
+    access = f"concat(substr(m, 1, 4), {let('v', 'substr(m, 5)', sym('v', marks('v'), 'access'))})"
     secret = sym("m", "repeat('x', length(m))", "secret")
     first, second, year = (f"cast(substr(m, {i}, {n}) as int)" for i, n in ((1, 2), (4, 2), (7, 4)))
     month_first = f"m like '__/%' and {second} > 12"
@@ -161,7 +167,7 @@ def pseudonym(key: str, reverse: bool) -> str:
     phone = let("h", r"regexp_extract(m, '^([+][0-9]{1,3}(?=[ .(-])|[+][0-9])?', 0)", let(
         "v", "substr(m, length(h) + 1)", let("w", "regexp_replace(v, '[^0-9]', '')", let(
             "z", sym("w", "repeat('d', length(w))", "phone"), f"concat(h, {refilled('v', 'z')})"))))
-    cases = {"email": email, "account": account, "secret": secret, "date": days, "address": dotted,
+    cases = {"email": email, "account": account, "password": hidden, "access": access, "secret": secret, "date": days, "address": dotted,
              "social": social, "card": card, "phone": phone}
     whens = " ".join(f"when m rlike {quoted('^(?:' + PATTERNS[k] + ')$')} then {v}" for k, v in cases.items())
     return f"case {whens} else m end"
@@ -175,7 +181,7 @@ def pseudonymise(docs: DataFrame, key: str, reverse: bool = False) -> DataFrame:
     """
     search = quoted(ANY)
     docs = docs.drop("n_replaced")
-    likely = F.col("text").rlike("[0-9@]")
+    likely = F.col("text").rlike("[0-9@=:]|A[KS]IA")
     found = F.expr(f"regexp_extract_all(text, {search}, 0)")
     new = F.expr(f"transform(_found, m -> {pseudonym(key, reverse)})")
     between = F.expr(f"split(text, {search}, -1)")
