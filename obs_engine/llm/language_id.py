@@ -3,7 +3,7 @@
 A text is a vector of hashed byte trigrams of its lower-cased letters, weighted by
 1 + ln(count) and inverse document frequency and normalised. The labelled texts of each
 language are clustered (spherical k-means) into a few centroids; a text gets the
-language of the centroid with the largest cosine. A text whose cosine stays below half
+language of the centroid with the largest cosine. A text whose cosine stays below a fifth
 of what nearly all training texts of its length reach is rejected: it is far from every
 centroid.
 
@@ -25,13 +25,14 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from obs_engine.llm.textvec import chunks, flat, lower_table
 
 FEATURES = 1 << 13
 SAMPLE, CLUSTERS, ROUNDS = 1500, 4, 12
 #: Below this share of the training texts' low cosines a text is rejected.
-REJECT = 0.5
+REJECT = 0.2
 LENGTHS = 24
 
 
@@ -127,7 +128,7 @@ def classifier(shared):
         idf, centroids, langs, low = shared.value
         for batch in batches:
             best, who, gone = [], [], []
-            for _, data, at in small_chunks(batch.column(2)):
+            for _, data, at in small_chunks(batch.column(batch.num_columns - 2)):
                 counts = grams(data, at)
                 cos = weighted(counts, idf) @ centroids
                 k = np.argmax(cos, 1)
@@ -135,13 +136,14 @@ def classifier(shared):
                 best.append(score), who.append(k), gone.append(score < low[length_class(counts)])
             flat_ = lambda x, t: np.concatenate(x) if x else np.empty(0, t)
             score, k, gone = flat_(best, float), flat_(who, int), flat_(gone, bool)
-            lettered = batch.column(3).to_numpy(zero_copy_only=False).astype(bool)
+            lettered = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False).astype(bool)
             names = [langs[i] if has else "und" for i, has in zip(k, lettered)]
             score = np.where(lettered, np.clip(score.astype(float), 0, 1), 0.0)
+            carried = batch.schema.names[:-2]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(score), pa.array(gone | ~lettered)],
-                names=["doc_id", "held_out", "lang_pred", "score", "rejected"],
-            )
+                [*batch.columns[:-2], pa.array(names, pa.string()), pa.array(score), pa.array(gone | ~lettered)],
+                names=[*carried, "lang_pred", "score", "rejected"],
+            )
 
     return run
 
@@ -156,35 +158,55 @@ def identify(docs: DataFrame, folds: int = 5, fold: int | None = 0) -> DataFrame
     Learns from rows with a ``lang`` whose ``crc32(doc_id)`` modulo ``folds`` is not
     ``fold`` (None: from all); only the text enters a prediction.
     """
+    return _classified(docs.select("doc_id", "text", "lang"), ["doc_id"], folds, fold)
+
+
+def recognised(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose language is recognised, all columns unchanged."""
+    names = docs.columns
+    plain = docs.select(*(F.col(c).alias(f"_{i}") for i, c in enumerate(names)), "doc_id", "text", "lang")
+    kept = _classified(plain, [f"_{i}" for i in range(len(names))], 5, None).where("not rejected")
+    return kept.select(*(F.col(f"_{i}").alias(c) for i, c in enumerate(names)))
+
+
+def _classified(docs: DataFrame, carried: list[str], folds: int, fold: int | None) -> DataFrame:
     spark = docs.sparkSession
-    lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    lettered = F.coalesce(F.col("text").cast("string").rlike(r"\p{L}"), F.lit(False))
     held = F.lit(False) if fold is None else F.coalesce(remainder("doc_id", folds) == fold, F.lit(False))
     texts = docs.select(
-        "doc_id", held.alias("held_out"), F.col("text").cast("string").alias("text"), lettered.alias("lettered"),
-        F.col("lang").cast("string").alias("lang"),
-    )
-    train = texts.where("lettered and not held_out and lang is not null and doc_id is not null").drop("held_out")
+        *carried, held.alias("held_out"), F.col("text").cast("string").alias("text"), lettered.alias("lettered")
+    )
+    train = docs.select(
+        "doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), held.alias("held_out")
+    ).where(lettered & ~F.col("held_out") & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
     sizes = {r["lang"]: r["n"] for r in train.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    kind = texts.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, held_out boolean, lang_pred string, score double, rejected boolean"
     if not sizes:
-        return texts.select("doc_id", "held_out", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"),
-                            F.lit(True).alias("rejected"))
-    counted = train.select("text").mapInArrow(document_frequencies, "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+        return texts.select(
+            *carried, "held_out", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected")
+        )
+    counted = (
+        train.select("text").mapInArrow(document_frequencies, "feature int, n long")
+        .groupBy("feature").agg(F.sum("n").alias("n"))
+    )
     df = {r["feature"]: r["n"] for r in counted.collect()}
     idf = np.log((1 + df[-1]) / (1.0 + np.array([df[i] for i in range(FEATURES)]))).astype(np.float32) + np.float32(1)
-    rate = F.element_at(F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, SAMPLE / n))]), F.col("lang"))
+    rates = [F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, SAMPLE / n))]
     unit = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    sample = train.where(unit < rate).select("doc_id", "lang", "text")
-    found = sample.groupBy("lang").applyInPandas(cluster(idf), "lang string, cluster int, centroid binary, low array<double>")
+    sample = train.where(unit < F.element_at(F.create_map(*rates), F.col("lang"))).select("doc_id", "lang", "text")
+    found = sample.groupBy("lang").applyInPandas(
+        cluster(idf), "lang string, cluster int, centroid binary, low array<double>"
+    )
     found = sorted(found.collect(), key=lambda r: (r["lang"], r["cluster"]))
+    if not found:  # a handful of texts, none in the sample
+        return _classified(docs.withColumn("lang", F.lit(None).cast("string")), carried, folds, fold)
     centroids = np.stack([np.frombuffer(r["centroid"], "<f4") for r in found], 1)
-    low = np.array([[np.nan if x is None else x for x in r["low"]] for r in found])
-    with np.errstate(all="ignore"):
-        low = np.array([np.nanmin(c) if not np.isnan(c).all() else 0.0 for c in low.T]) * REJECT
-    # A length without training texts takes the bound of the next shorter one that has some.
-    low = np.where(low > 0, low, 0.0)
+    low = np.array([[0.0 if x is None else x for x in r["low"]] for r in found])
+    # The least of all languages; a length without texts takes that of the next shorter one.
+    low = np.where(low > 0, low, np.inf).min(0)
+    low = np.where(np.isfinite(low), low, 0.0) * REJECT
     for i in range(1, LENGTHS):
         low[i] = low[i] or low[i - 1]
     shared = spark.sparkContext.broadcast((idf, np.ascontiguousarray(centroids), [r["lang"] for r in found], low))
-    return texts.drop("lang").mapInArrow(classifier(shared), schema)
+    out = T.StructType().add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
+    schema = T.StructType([*texts.schema.fields[:-2], *out.fields])
+    return texts.mapInArrow(classifier(shared), schema)
