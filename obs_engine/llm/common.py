@@ -10,13 +10,24 @@ from pyspark.sql import functions as F
 
 from obs_engine.session import work_path
 
-__all__ = ["table", "stored", "release", "worker_cache", "offsets", "components"]
+__all__ = ["table", "fresh", "stored", "release", "worker_cache", "offsets", "components"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores behind it as ``df`` needs to have none like it."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back: its lineage ends here."""
     spark = df.sparkSession

@@ -2,9 +2,9 @@
 
 Postings ``(term, doc, position)`` of the corpus are intersected as a search engine does
 for a phrase query. Every run of ``window`` consecutive item words is a phrase; its
-rarest term (by count over all training text) is looked up first. Only documents that
-hold a rarest term at all get the postings of the other terms stored, partitioned by
-document. A posting at position p of the item's word j belongs to the alignment p - j:
+rarest term (by count over all training text) is looked up first, for exact matches
+together with the word beside it. Postings of the benchmark's terms are stored where a
+looked-up word stands, for as many words around it as a phrase reaches. A posting at position p of the item's word j belongs to the alignment p - j:
 postings of one document, item and alignment are the offset-adjusted lists, and a run of
 ``window`` consecutive words among them is an exact phrase match. With ``least`` below
 ``window`` the same lists give proximity matches: stretches of ``window`` places in which
@@ -24,18 +24,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from obs_engine.llm.common import stored
+from obs_engine.llm.common import fresh, stored
 
 WINDOW = 10
 TERMS = 200_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Fixed value: runs of bytes below 0x80 that are no letter or digit part words.
-BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BREAKS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def cut(text: str = "text") -> Column:
     """Array of the words of a text, with an empty one where it begins or ends in a break."""
-    return F.split(F.translate(F.coalesce(F.col(text).cast("string"), F.lit("")), UPPER, LOWER), BREAKS, -1)
+    return F.split(F.coalesce(F.col(text).cast("string"), F.lit("")), BREAKS, -1)
+
+
+def folded(word: Column) -> Column:
+    """A-Z in lower case, no other letter changed."""
+    plain = F.octet_length(word) == F.char_length(word)
+    return F.when(plain, F.lower(word)).otherwise(F.translate(word, UPPER, LOWER))
 
 
 def n_words(parts: Column) -> Column:
@@ -45,7 +51,7 @@ def n_words(parts: Column) -> Column:
 
 def item_words(items: DataFrame) -> DataFrame:
     """``(item, n, j, term)``; an item is a number for each distinct (item_id, text)."""
-    found = items.select("item_id", F.filter(cut(), lambda w: w != "").alias("w")).where(F.size("w") > 0).distinct()
+    found = items.select("item_id", F.transform(F.filter(cut(), lambda w: w != ""), folded).alias("w")).where(F.size("w") > 0).distinct()
     found = found.withColumn("item", F.xxhash64("item_id", "w"))
     return found.select("item_id", "item", F.size("w").alias("n"), F.posexplode("w").alias("j", "term"))
 
@@ -54,14 +60,18 @@ def bounded(terms: DataFrame) -> DataFrame:
     return F.broadcast(terms) if terms.count() <= TERMS else terms
 
 
+def row_name() -> Column:
+    """Name of a document row: of its ``doc_id`` and text."""
+    name = F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.col("text").cast("string"))
+    return F.unhex(F.md5(name.cast("binary")))
+
+
 class Index:
     """Stored word counts, item phrases and postings of one corpus for one benchmark."""
 
     def __init__(self, docs: DataFrame, items: DataFrame, window: int = WINDOW, least: int | None = None):
         self.window, self.least = window, least or window
-        name = F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), "text")
-        row = F.unhex(F.md5(name.cast("binary"))).alias("row")
-        self.docs = docs.select("doc_id", F.col("text").cast("string").alias("text")).select("doc_id", "text", row)
+        self.docs = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("row", row_name())
         self.items = stored(item_words(items), "item_words")
         terms = stored(self.items.select("term").distinct().withColumn("t", F.xxhash64("term")), "terms")
         self.terms = bounded(terms)
@@ -69,12 +79,13 @@ class Index:
         self.postings = stored(self._postings(), "postings")
 
     def _anchors(self) -> DataFrame:
-        """``(item, j, term)``: the words to look up first, some of each phrase.
+        """``(item, j, term, side, beside)``: the words to look up first, some of each phrase.
 
         A proximity match may miss ``window - least`` words of its stretch, so one more
-        than that are looked up, the rarest ones.
+        than that are looked up, the rarest ones, by themselves. A word of an exact phrase
+        is looked up with the next or, at the end, the previous word.
         """
-        corpus = self.docs.select(F.explode(cut()).alias("term"))
+        corpus = self.docs.select(F.explode(cut()).alias("word")).select(folded(F.col("word")).alias("term"))
         n = corpus.join(self.terms, "term").groupBy("term").agg(F.count("*").alias("n_corpus"))
         counted = self.items.join(n, "term", "left").withColumn("n_corpus", F.coalesce("n_corpus", F.lit(0)))
         last = F.greatest(F.col("n") - self.window, F.lit(0))
@@ -83,19 +94,26 @@ class Index:
         )
         rank = Window.partitionBy("item", "phrase").orderBy("n_corpus", "j")
         picked = starts.withColumn("_r", F.row_number().over(rank)).where(F.col("_r") <= self.window - self.least + 1)
-        return picked.select("item", "j", "term").distinct()
+        alone = (F.col("n") == 1) | F.lit(self.least < self.window)
+        end = F.col("phrase") + F.least("n", F.lit(self.window)) - 1
+        picked = picked.withColumn("side", F.when(alone, 0).when(F.col("j") < end, 1).otherwise(-1))
+        beside = self.items.select("item", F.col("j").alias("_j"), F.col("term").alias("beside"))
+        near = (F.col("j") + F.col("side")) == F.col("_j")
+        picked = picked.select("item", "j", "term", "side").distinct()
+        return picked.join(beside.withColumnRenamed("item", "_item"), near & (F.col("item") == F.col("_item"))).drop("_item", "_j")
 
     def _postings(self) -> DataFrame:
-        """``(row, p, t)`` of all benchmark terms, in the documents that hold a looked-up term."""
-        wanted = self.anchors.select("term").distinct().select("term", F.lit(True).alias("anchor"))
-        size = wanted.count()
-        wanted = F.broadcast(wanted) if size <= TERMS else wanted
-        found = self.docs.select("row", F.explode(cut()).alias("term")).join(wanted, "term").select("row").distinct()
-        held = self.docs.join(found, "row", "left_semi").dropDuplicates(["row"])
-        parts = held.select("row", cut().alias("w"))
-        lead = (F.element_at("w", 1) == "").cast("int").alias("lead")
-        placed = parts.select("row", lead, F.posexplode("w").alias("p", "term")).join(self.terms, "term")
-        return placed.select("row", (F.col("p") - F.col("lead")).alias("p"), "t")
+        """``(row, p, t)`` of benchmark terms at most a phrase away from a looked-up word."""
+        wanted = bounded(self.anchors.select("term", "side", "beside").distinct())
+        parts = self.docs.select("row", cut().alias("w"))
+        placed = parts.select("row", "w", F.posexplode("w").alias("p", "word")).withColumn("term", folded(F.col("word")))
+        found = placed.join(wanted, "term").where(folded(F.get("w", F.col("p") + F.col("side"))) == F.col("beside"))
+        begin = F.greatest(F.col("p") - self.window + 1, F.lit(0))
+        lead = (F.element_at("w", 1) == "").cast("int")
+        around = found.select("row", begin.alias("b"), lead.alias("lead"), F.slice("w", begin + 1, F.col("p") - begin + self.window).alias("near"))
+        around = around.select("row", "b", "lead", F.posexplode("near").alias("k", "word"))
+        terms = around.select("row", (F.col("b") + F.col("k") - F.col("lead")).alias("p"), folded(F.col("word")).alias("term"))
+        return terms.join(self.terms, "term").select("row", "p", "t").distinct()
 
     def alignments(self) -> DataFrame:
         """``(row, item, n, a, j)``: words in place, for alignments that hold a looked-up word."""
@@ -133,3 +151,10 @@ def contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Dat
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
         F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
     )
+
+
+def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows of ``docs`` without any exact phrase of ``items``, all columns unchanged."""
+    name = fresh(docs, "row")[0]
+    found = stored(Index(docs, items, window).matches().select(F.col("row").alias(name)).distinct(), "contaminated")
+    return docs.withColumn(name, row_name()).join(found, name, "left_anti").drop(name)
