@@ -6,9 +6,11 @@ into blocks of about ``BLOCK``; each block's index is ``PROJECTIONS`` arrays, th
 projections on single random lines in sorted order. A query is projected on the same
 lines. Around its projections windows are opened in every array and widened together by
 a fixed ratio (virtual rehashing); a vector collides in an array when the window reaches
-it. Vectors with collisions in at least ``ALPHA`` of the arrays are candidates. Windows
-stop when a block has candidates for ``k`` and the share ``BETA`` of its vectors, and the
-candidates are verified by exact inner products of the original vectors.
+it. Vectors that collide in at least ``ALPHA`` of the arrays are candidates. With 64
+components only wide windows tell near from far, so they open wide, and what is counted
+is the fewer vectors that they have not reached. Windows stop when a block has candidates
+for ``k``, ``SPARE`` more and the share ``BETA`` of its vectors; the candidates are
+verified by exact inner products of the original vectors.
 
 Every block is searched by every query, queries in packs; a group holds one block and one
 pack, whatever the table's size. The best ``k`` of each block are merged by rank.
@@ -28,8 +30,9 @@ from pyspark.sql import functions as F
 from obs_engine.llm.common import stored
 
 BLOCK, PACK = 8192, 2048
-PROJECTIONS, ALPHA, BETA = 128, 0.72, 0.15
-FIRST_WIDTH, RATIO = 0.55, 1.15
+PROJECTIONS, ALPHA, BETA, SPARE = 128, 0.92, 0.05, 300
+#: Half the first window's width, for vectors scaled to a largest norm of 1.
+FIRST_WIDTH, RATIO = 1.5, 1.06
 INDEX = "block int, ids binary, vectors binary, lines binary, places binary"
 
 
@@ -59,23 +62,31 @@ def build(top: float):
     return run
 
 
-def candidates(q: np.ndarray, lines: np.ndarray, places: np.ndarray, want: int) -> np.ndarray:
-    """Rows of a block that collide often enough with the projected query ``q``."""
+def candidates(q: np.ndarray, lines: np.ndarray, places: np.ndarray, want: int) -> list[np.ndarray]:
+    """For each projected query the rows of a block that collide with it often enough."""
     n = lines.shape[1]
-    need = int(np.ceil(ALPHA * PROJECTIONS))
-    count = np.zeros(n, np.int64)
-    width = FIRST_WIDTH
-    low = high = np.array([np.searchsorted(s, x) for s, x in zip(lines, q)])
-    while True:
-        lo = np.array([np.searchsorted(s, x - width, "left") for s, x in zip(lines, q)])
-        hi = np.array([np.searchsorted(s, x + width, "right") for s, x in zip(lines, q)])
-        ring = [p[a:b] for p, a, b in zip(places, lo, low)] + [p[a:b] for p, a, b in zip(places, high, hi)]
-        count += np.bincount(np.concatenate(ring), minlength=n)
-        low, high = lo, hi
-        found = np.flatnonzero(count >= need)
-        if len(found) >= want or (hi - lo).min() == n:
-            return found
+    spare = PROJECTIONS - int(np.ceil(ALPHA * PROJECTIONS))  # arrays that may not collide
+    out: list[np.ndarray] = [np.empty(0, np.int64)] * len(q)
+    missed = [np.zeros(n, np.int64)] * len(q)
+    low = high = None
+    live, width = np.arange(len(q)), FIRST_WIDTH
+    while len(live):
+        lo = np.stack([np.searchsorted(s, x - width, "left") for s, x in zip(lines, q[live].T)], 1)
+        hi = np.stack([np.searchsorted(s, x + width, "right") for s, x in zip(lines, q[live].T)], 1)
+        on = np.ones(len(live), bool)
+        for i, name in enumerate(live):
+            if low is None:
+                ring = [p[:a] for p, a in zip(places, lo[i])] + [p[b:] for p, b in zip(places, hi[i])]
+                missed[name] = np.bincount(np.concatenate(ring), minlength=n)
+            else:
+                ring = [p[a:b] for p, a, b in zip(places, lo[i], low[i])] + [p[a:b] for p, a, b in zip(places, high[i], hi[i])]
+                missed[name] -= np.bincount(np.concatenate(ring), minlength=n)
+            found = np.flatnonzero(missed[name] <= spare)
+            if len(found) >= want:
+                out[name], on[i] = found, False
+        low, high, live = lo[on], hi[on], live[on]
         width *= RATIO
+    return out
 
 
 def search(k: int, top: float):
@@ -88,13 +99,13 @@ def search(k: int, top: float):
             x = np.frombuffer(index["vectors"].iloc[0], np.float32).reshape(len(ids), -1)
             lines = np.frombuffer(index["lines"].iloc[0], np.float32).reshape(PROJECTIONS, -1)
             places = np.frombuffer(index["places"].iloc[0], np.int32).reshape(PROJECTIONS, -1)
-            want = min(len(ids), k + 1 + int(BETA * len(ids)))
+            want = min(len(ids), k + 1 + SPARE + int(BETA * len(ids)))
             original = np.stack(queries["vector"].to_numpy()).astype(np.float64)
             # The extra component of a query is 0; its length doesn't matter to the order.
             unit = original / np.sqrt((original**2).sum(1, keepdims=True))
             projected = unit.astype(np.float32) @ directions(x.shape[1] + 1)[:-1]
-            for name, mark, q, p in zip(queries["id"], queries["query"], original, projected):
-                c = candidates(p, lines, places, want)
+            found = [c for i in range(0, len(projected), 64) for c in candidates(projected[i : i + 64], lines, places, want)]
+            for name, mark, q, c in zip(queries["id"], queries["query"], original, found):
                 c = c[ids[c] != name]
                 score = (x[c].astype(np.float64) * q).sum(1)
                 best = np.lexsort((ids[c], -score))[:k]
