@@ -1,28 +1,62 @@
 """Cleaning of a training corpus in stages; each stage's output is stored and read by the next.
 
-A stage is ``(name, function)`` with ``function(spark, docs, sf_dir) -> DataFrame``.
+A stage is ``(name, function)`` with ``function(spark, docs, sf_dir) -> DataFrame``. All
+but the last return the columns of ``documents``.
+
+Edge cases: a text that is null, or without a letter, has no language and goes in the
+first stage. Rows without ``doc_id`` are nobody's copy and stay. An empty table passes
+through every stage.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from obs_engine.llm import near_dedup
+from obs_engine.llm import decontaminate, language_id, near_dedup, packing, pii
 from obs_engine.llm.common import stored, table
+from obs_engine.llm.queries import PII_KEY, tokenizer
+
+
+def recognised_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are far from every language go."""
+    return language_id.recognised(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates (five words, 0.8) stays."""
+    return near_dedup.one_of_each(docs)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a phrase of the benchmark go."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
 
+def pseudonymised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in the texts become pseudonyms; ``n_chars`` follows the text."""
+    found = pii.pseudonymise(docs, PII_KEY)
+    if "n_chars" in docs.columns:
+        n = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+        found = found.withColumn("n_chars", F.when(F.col("n_replaced") > 0, n).otherwise(F.col("n_chars")))
+    return found.select(*docs.columns)
 
-def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: the one with the smallest id.
 
-    Rows without ``doc_id`` stay; of several rows with one ``doc_id``, one stays.
-    """
-    found = near_dedup.near_duplicates(docs.select("doc_id", "text"))
-    gone = found.where(~found.kept).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token sequences: which ids of which document stand where."""
+    pieces = packing.cut(docs, tokenizer("word_bpe_49k.json"))
+    pieces = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.pack(pieces).drop("class")
 
 
-STAGES = [("near_duplicates", drop_near_copies)]
-#: MinHash and the later stages have no SQL form.
+STAGES = [
+    ("language_id", recognised_language),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontaminated),
+    ("pii", pseudonymised),
+    ("packing", packed),
+]
+#: Trained centroids, hash forests and tokenizers have no SQL form.
 ORACLE_SQL = None
 
 

@@ -22,10 +22,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from obs_engine.llm.common import components, release, stored
+from obs_engine.llm.common import components, fresh, stored
 from obs_engine.llm.textvec import BASE, chunks, flat, mix, shingles, word_hashes
 
 VALUES = 64
@@ -263,3 +263,20 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
         .select("doc_id", "n_shingles", component.alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
+
+
+def one_of_each(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """The rows of ``docs`` that stay: of each component the document with the smallest id.
+
+    Rows without ``doc_id`` stay; of several rows with one ``doc_id`` the one whose text
+    hashes lowest stays.
+    """
+    found = near_duplicates(docs.select("doc_id", "text"), size, num, den)
+    gone = stored(found.where(~found.kept).select("doc_id").distinct(), "near_copies")
+    kept = docs.join(gone, "doc_id", "left_anti")
+    twice = stored(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated_ids")
+    if twice.isEmpty():
+        return kept
+    order, rank = Window.partitionBy("doc_id").orderBy(F.xxhash64("text")), fresh(docs, "rank")[0]
+    several = kept.join(twice, "doc_id", "left_semi").withColumn(rank, F.row_number().over(order))
+    return kept.join(twice, "doc_id", "left_anti").unionByName(several.where(F.col(rank) == 1).drop(rank))

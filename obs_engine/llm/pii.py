@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from obs_engine.llm.common import fresh
+
 ROUNDS = 10
 
 # What each kind looks like (Java patterns), tried in this order.
@@ -181,18 +183,17 @@ def pseudonymise(docs: DataFrame, key: str, reverse: bool = False) -> DataFrame:
     """
     search = quoted(ANY)
     docs = docs.drop("n_replaced")
+    found, new, between = fresh(docs, "found", "new", "between")
     likely = F.col("text").rlike("[0-9@=:]|A[KS]IA")
-    found = F.expr(f"regexp_extract_all(text, {search}, 0)")
-    new = F.expr(f"transform(_found, m -> {pseudonym(key, reverse)})")
-    between = F.expr(f"split(text, {search}, -1)")
-    text = F.expr("concat(array_join(zip_with(slice(_between, 1, size(_new)), _new, (b, n) -> concat(b, n)), ''), element_at(_between, -1))")
-    changed = F.size(F.filter(F.arrays_zip("_found", "_new"), lambda p: p["_found"] != p["_new"]))
-    has = F.coalesce(F.size("_found") > 0, F.lit(False))
+    has = F.coalesce(F.size(found) > 0, F.lit(False))
+    pairs = f"zip_with(slice({between}, 1, size({new})), {new}, (b, n) -> concat(b, n))"
+    text = F.expr(f"concat(array_join({pairs}, ''), element_at({between}, -1))")
+    changed = F.expr(f"size(filter(zip_with({found}, {new}, (f, n) -> f <> n), c -> c))")
     return (
-        docs.withColumn("_found", F.when(likely, found))
-        .withColumn("_new", F.when(has, new))
-        .withColumn("_between", F.when(has, between))
+        docs.withColumn(found, F.when(likely, F.expr(f"regexp_extract_all(text, {search}, 0)")))
+        .withColumn(new, F.when(has, F.expr(f"transform({found}, m -> {pseudonym(key, reverse)})")))
+        .withColumn(between, F.when(has, F.expr(f"split(text, {search}, -1)")))
         .withColumn("text", F.when(has, text).otherwise(F.col("text")))
         .withColumn("n_replaced", F.when(has, changed).otherwise(F.lit(0)))
-        .drop("_found", "_new", "_between")
+        .drop(found, new, between)
     )

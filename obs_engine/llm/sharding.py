@@ -27,11 +27,11 @@ PART = 20_000
 
 def interleave(rows: DataFrame, n_shards: int, seed: int = 0, source: str = "source") -> DataFrame:
     """``rows`` with ``shard`` (from 0) and ``slot`` (its place in the shard, gapless from 0)."""
-    carried = [c for c in rows.columns if c not in ("shard", "slot")]
-    mark = F.xxhash64(F.lit(seed), *carried)
+    names = [c for c in rows.columns if c.lower() not in ("shard", "slot")]
+    carried = [f"c{i}" for i in range(len(names))]  # no clash with the columns made here
     keyed = rows.select(
-        *carried, mark.alias("_h"), F.col(source).isNull().alias("_nil"),
-        F.coalesce(F.col(source).cast("string"), F.lit("")).alias("_source"),
+        *(F.col(c).alias(x) for c, x in zip(names, carried)), F.xxhash64(F.lit(seed), *names).alias("_h"),
+        F.col(source).isNull().alias("_nil"), F.coalesce(F.col(source).cast("string"), F.lit("")).alias("_source"),
     )
     keyed = stored(keyed, "shuffled")
     total = keyed.count()
@@ -60,5 +60,5 @@ def interleave(rows: DataFrame, n_shards: int, seed: int = 0, source: str = "sou
         .withColumn("_place", place)
         .withColumn("shard", F.expr(f"_place * {n_shards} div {last}").cast("int"))
         .withColumn("slot", F.expr(f"_place - (shard * {last}L + {n_shards - 1}) div {n_shards}").cast("long"))
-        .select(*carried, "shard", "slot")
+        .select(*(F.col(x).alias(c) for c, x in zip(names, carried)), "shard", "slot")
     )
