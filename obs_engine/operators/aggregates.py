@@ -69,18 +69,18 @@ def duplicate_keys(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     )
 
 
-def share_of_total(df: DataFrame, by: str, metric: Column, name: str, limit: int) -> DataFrame:
+def share_of_total(
+    df: DataFrame, by: str, metric: Column, name: str, limit: int | None = None
+) -> DataFrame:
     """Metric per category with its share of the total, largest first.
 
-    The total is a window over the aggregated result, one row per category.
+    The total is a window over the aggregated result, so ``by`` must be a column of
+    few values, such as a status. Shares are of the whole total, with or without ``limit``.
     """
     grouped = df.groupBy(by).agg(metric.alias(name))
     share = F.col(name) / F.sum(name).over(Window.partitionBy())
-    return (
-        grouped.select(by, name, share.alias("share"))
-        .orderBy(F.desc(name), F.asc_nulls_last(by))
-        .limit(limit)
-    )
+    out = grouped.select(by, name, share.alias("share")).orderBy(F.desc(name), F.asc_nulls_last(by))
+    return out if limit is None else out.limit(limit)
 
 
 def series(

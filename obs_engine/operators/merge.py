@@ -6,9 +6,9 @@ DataFrame; ``Warehouse`` applies them to stored tables.
 How a stored merge works, and why it scales:
 
 * the partition value is a function of the merge key, so only the partitions
-  named by the batch are read;
-* the batch is reduced to one row per key before any join, so joins have unique
-  keys on both sides and no hot key;
+  of the batch are read: their range prunes statically, a semi-join dynamically;
+* a batch with two rows of one key is refused before any join, so joins have
+  unique keys on both sides and no hot key;
 * partitions that only gain rows are appended to; only partitions holding a
   changed row are rewritten, by dynamic partition overwrite;
 * batch and classification are written tables in the shared folder, so losing
@@ -17,12 +17,18 @@ How a stored merge works, and why it scales:
 
 Every merge is idempotent: replaying a batch changes nothing, so a job that dies
 between two writes is simply run again.
+
+A table is a folder with a pointer file, which names the folder of the current
+version and its schema. A rebuild, and a batch that drops or retypes a column,
+writes a new version and switches the pointer last, so a job that dies before
+leaves the old table as it was.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from datetime import date, datetime, timezone
@@ -37,8 +43,8 @@ from obs_engine.session import pin_utc, work_path
 INSERTED, UPDATED, UNCHANGED = "inserted", "updated", "unchanged"
 ACTION = "_action"
 
-# Above this many partition values a merge prunes by range instead of by list.
-MAX_LISTED_PARTITIONS = 2_000
+# Folder name of the NULL partition.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 # Partition columns that are not part of the model start with this.
 TECHNICAL = "p_"
@@ -133,18 +139,30 @@ def delete_inserted(target: DataFrame, new: DataFrame, key: Sequence[str]) -> Da
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Add columns the schema gained (NULL) and drop those it lost."""
+    """Add columns the schema gained (NULL), drop those it lost, cast those it retyped.
+
+    A stored value that the new type cannot hold fails the job.
+    """
     have = {f.name: f.dataType for f in df.schema.fields}
-    for f in schema.fields:
-        if f.name in have and have[f.name] != f.dataType:
-            raise TypeError(f"column {f.name}: {have[f.name].simpleString()} is stored, "
-                            f"{f.dataType.simpleString()} is new")
-    return df.select(
-        *[
-            F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in schema.fields
-        ]
-    )
+
+    def column(f) -> Column:
+        if f.name not in have:
+            return F.lit(None).cast(f.dataType).alias(f.name)
+        return F.col(f.name) if have[f.name] == f.dataType else F.col(f.name).cast(f.dataType)
+
+    return df.select(*[column(f).alias(f.name) for f in schema.fields])
+
+
+class DuplicateKey(ValueError):
+    """A batch holds more than one row of a key."""
+
+
+def require_unique(batch: DataFrame, key: Sequence[str]) -> None:
+    """Raise if a key without NULL occurs twice."""
+    twice = batch.dropna(subset=list(key)).groupBy(*key).count().filter("count > 1").first()
+    if twice:
+        names = ", ".join(f"{c}={twice[c]}" for c in key)
+        raise DuplicateKey(f"{twice['count']} rows of the batch have the key {names}")
 
 
 def newer_than(df: DataFrame, loaded: str, high: datetime | None) -> DataFrame:
@@ -191,6 +209,10 @@ class Partitioning:
         firsts = {d if self.grain == "day" else d.replace(day=1) for d in days}
         return F.col(self.column).isin(sorted(firsts))
 
+    def of_day(self, day: str) -> Column:
+        """Partition value of a day of the source column."""
+        return F.col(day) if self.grain == "day" else F.trunc(day, "month").cast("date")
+
 
 def by_day(source: str, column: str = "p_day") -> Partitioning:
     return Partitioning(column, source, "day")
@@ -224,9 +246,9 @@ class TableSpec:
 
 
 class Warehouse:
-    """Parquet tables under one root, each a directory of partitions."""
+    """Parquet tables under one root, each a folder of versions with a pointer file."""
 
-    _SCHEMA_FILE = "_table_schema.json"
+    _POINTER = "_current.json"
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = pin_utc(spark)
@@ -234,19 +256,28 @@ class Warehouse:
 
     # paths
 
-    def path(self, spec: TableSpec) -> str:
+    def home(self, spec: TableSpec) -> str:
         return f"{self.root}/{spec.name}"
 
+    def path(self, spec: TableSpec) -> str:
+        """Folder of the current version."""
+        return f"{self.home(spec)}/{self._pointer(spec)['version']}"
+
+    def _pointer(self, spec: TableSpec) -> dict:
+        return self.read_json(f"{self.home(spec)}/{self._POINTER}")
+
     def _fs(self, path: str):
         jpath = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return jpath.getFileSystem(self.spark._jsc.hadoopConfiguration()), jpath
 
     def exists(self, spec: TableSpec) -> bool:
-        return self.path_exists(f"{self.path(spec)}/{self._SCHEMA_FILE}")
+        """Whether the table was ever completed; a first load that died left only garbage."""
+        return self.path_exists(f"{self.home(spec)}/{self._POINTER}")
 
     def delete_path(self, path: str) -> None:
         fs, jpath = self._fs(path)
-        fs.delete(jpath, True)
+        if not fs.delete(jpath, True) and fs.exists(jpath):
+            raise OSError(f"{path} was not deleted")
 
     def path_exists(self, path: str) -> bool:
         fs, jpath = self._fs(path)
@@ -254,7 +285,8 @@ class Warehouse:
 
     def rename_path(self, old: str, new: str) -> None:
         fs, jpath = self._fs(old)
-        fs.rename(jpath, self._fs(new)[1])
+        if not fs.rename(jpath, self._fs(new)[1]):
+            raise OSError(f"{old} was not renamed to {new}")
 
     def read_json(self, path: str) -> dict:
         """A small metadata file; Spark's readers skip names with an underscore."""
@@ -267,27 +299,46 @@ class Warehouse:
         return json.loads(text)
 
     def write_json(self, path: str, value: dict) -> None:
-        fs, jpath = self._fs(path)
+        """Written aside and renamed over the old file, which stays whole until then."""
+        folder, _, name = path.rpartition("/")
+        aside = f"{folder}/_{uuid.uuid4().hex}{name}"
+        fs, jpath = self._fs(aside)
         stream = fs.create(jpath, True)
         stream.write(bytearray(json.dumps(value, sort_keys=True), "utf-8"))
         stream.close()
+        context = self.spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+            self._fs(path)[1].toUri(), self.spark._jsc.hadoopConfiguration()
+        )
+        rename = self.spark._jvm.org.apache.hadoop.fs.Options.Rename
+        options = self.spark._sc._gateway.new_array(rename, 1)
+        options[0] = rename.OVERWRITE
+        context.rename(fs.makeQualified(jpath), fs.makeQualified(self._fs(path)[1]), options)
 
     # reading
 
     def schema(self, spec: TableSpec) -> StructType:
-        return StructType.fromJson(self.read_json(f"{self.path(spec)}/{self._SCHEMA_FILE}"))
+        return StructType.fromJson(self._pointer(spec)["schema"])
 
-    def _save_schema(self, spec: TableSpec, schema: StructType) -> None:
+    def _switch(self, spec: TableSpec, version: str, schema: StructType) -> None:
         nullable = json.loads(schema.json())
         for field in nullable["fields"]:
             field["nullable"] = True
-        self.write_json(f"{self.path(spec)}/{self._SCHEMA_FILE}", nullable)
+        self.write_json(f"{self.home(spec)}/{self._POINTER}", {"version": version, "schema": nullable})
+
+    def _replace(self, spec: TableSpec, full: DataFrame) -> None:
+        """Write a new version, switch to it, and drop the old one."""
+        old = self.path(spec) if self.exists(spec) else None
+        version = f"v-{uuid.uuid4().hex}"
+        self._write(spec, full, "error", dynamic=False, path=f"{self.home(spec)}/{version}")
+        self._switch(spec, version, full.schema)
+        if old:
+            self.delete_path(old)
 
     def read(self, spec: TableSpec, with_partition: bool = False) -> DataFrame:
         """The table with its declared schema.
 
-        Files written before a column was added read it as NULL, and columns
-        dropped since are not read, so a schema change rewrites nothing (S12).
+        Files written before a column was added read it as NULL, so a new column
+        rewrites nothing; a dropped one is rewritten away (S12).
         """
         schema = self.schema(spec)
         # A partition column is read last; the declared order is kept instead.
@@ -320,7 +371,9 @@ class Warehouse:
             return df
         return df.withColumn(spec.partition, spec.layout.value())
 
-    def _write(self, spec: TableSpec, df: DataFrame, mode: str, dynamic: bool) -> None:
+    def _write(
+        self, spec: TableSpec, df: DataFrame, mode: str, dynamic: bool, path: str | None = None
+    ) -> None:
         # Rebalancing groups a partition's rows into few files but splits a hot
         # partition over many tasks; sorting lets scans skip row groups.
         laid_out = df.hint("rebalance", spec.partition).sortWithinPartitions(
@@ -330,7 +383,7 @@ class Warehouse:
             laid_out.write.mode(mode)
             .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
             .partitionBy(spec.partition)
-            .parquet(self.path(spec))
+            .parquet(path or self.path(spec))
         )
 
     def rebuild(
@@ -340,25 +393,24 @@ class Warehouse:
         guard_full_refresh(
             spec.name, spec.protected and self.exists(spec), allow_destructive_full_refresh
         )
-        full = self._with_partition(spec, df)
-        if self.exists(spec):
-            # The new content may derive from the old one: stage it first.
-            full = self.stage(full, f"{spec.name}-rebuild")
-            self._write(spec, full, "overwrite", dynamic=False)
-            self.release(full)
-        else:
-            self._write(spec, full, "overwrite", dynamic=False)
-        self._save_schema(spec, full.schema)
+        self._replace(spec, self._with_partition(spec, df))
         return self.read(spec)
 
-    def _touched(self, spec: TableSpec, staged: DataFrame) -> Column:
-        """Partition predicate covering the batch: a list, or a range when long."""
-        values = staged.select(spec.partition).distinct()
-        listed = [r[0] for r in values.limit(MAX_LISTED_PARTITIONS + 1).collect()]
-        if len(listed) <= MAX_LISTED_PARTITIONS:
-            return F.col(spec.partition).isin(listed)
-        low, high = staged.agg(F.min(spec.partition), F.max(spec.partition)).first()
-        return F.col(spec.partition).between(F.lit(low), F.lit(high))
+    def near(self, spec: TableSpec, values: DataFrame) -> DataFrame:
+        """The table's partitions whose value is among ``values(<partition>)``.
+
+        The range of the values prunes partitions when the scan is planned, the join
+        those between when it runs; no list of values passes through the driver.
+        """
+        part = spec.partition
+        table = self.read(spec, with_partition=True)
+        low, high, n, known = values.agg(
+            F.min(part), F.max(part), F.count(F.lit(1)), F.count(part)
+        ).first()
+        wanted = values.select(part).distinct().filter(F.col(part).between(F.lit(low), F.lit(high)))
+        some = table.filter(F.col(part).between(F.lit(low), F.lit(high))).join(wanted, part, "left_semi")
+        some = some.select(*table.columns)
+        return some if n == known else some.unionByName(table.filter(F.col(part).isNull()))
 
     def _merge(
         self,
@@ -367,51 +419,49 @@ class Warehouse:
         compare: Sequence[str] | None,
         update: bool,
     ) -> MergeResult:
-        batch = self._with_partition(spec, batch)
+        staged = self.stage(self._with_partition(spec, batch), f"{spec.name}-batch")
+        part = spec.partition
+        on = [*spec.key, *([] if part in spec.key else [part])]
+        require_unique(staged, spec.key)
         if not self.exists(spec):
-            staged = self.stage(batch, f"{spec.name}-batch")
             n = staged.count()
-            self._write(spec, staged, "overwrite", dynamic=False)
-            self._save_schema(spec, staged.schema)
+            self._replace(spec, staged)
             self.release(staged)
             return MergeResult(n, n, 0, 0)
 
-        staged = self.stage(batch, f"{spec.name}-batch")
-        stored_schema = self.schema(spec)
-        near = self.read(spec, with_partition=True).filter(self._touched(spec, staged))
-        aligned = conform(near, staged.schema)
-        part = spec.partition
-        on = [*spec.key, *([] if part in spec.key else [part])]
-        marked = self.stage(
-            classify(aligned, staged, on, compare), f"{spec.name}-classified"
-        )
-        tally = {
-            (r[part], r[ACTION]): r["n"]
-            for r in marked.groupBy(part, ACTION).agg(F.count(F.lit(1)).alias("n")).collect()
-        }
-        totals = {
-            a: sum(n for (_, action), n in tally.items() if action == a)
-            for a in (INSERTED, UPDATED, UNCHANGED)
-        }
-
-        rewritten = sorted({p for (p, a), _ in tally.items() if a == UPDATED}) if update else []
-        appended = [p for p in {p for (p, a), _ in tally.items() if a == INSERTED}
-                    if p not in set(rewritten)]
-        if [f.name for f in stored_schema.fields] != [f.name for f in staged.schema.fields]:
-            self._save_schema(spec, staged.schema)
-        if appended:
-            fresh = marked.filter(
-                (F.col(ACTION) == INSERTED) & F.col(part).isin(appended)
-            ).drop(ACTION)
+        old = {f.name: f.dataType for f in self.schema(spec).fields}
+        new = {f.name: f.dataType for f in staged.schema.fields}
+        changed_shape = any(new.get(c) != t for c, t in old.items())
+        aligned = conform(self.near(spec, staged), staged.schema)
+        marked = self.stage(classify(aligned, staged, on, compare), f"{spec.name}-classified")
+        counts = action_counts(marked).first()
+        result = MergeResult(counts["received"], *(counts[a] for a in (INSERTED, UPDATED, UNCHANGED)))
+        hot = F.max((F.col(ACTION) == UPDATED) & F.lit(update))
+        parts = self.stage(marked.groupBy(part).agg(hot.alias("_rewritten")), f"{spec.name}-partitions")
+
+        def within(df: DataFrame, rewritten: bool) -> DataFrame:
+            chosen = parts.filter(F.col("_rewritten") == rewritten).select(F.col(part).alias("_part"))
+            return df.join(chosen, F.col(part).eqNullSafe(F.col("_part")), "left_semi")
+
+        if changed_shape:
+            # Dropped or retyped columns leave the files too, so the table is written anew.
+            whole = conform(self.read(spec, with_partition=True), staged.schema)
+            actions = [INSERTED, UPDATED] if update else [INSERTED]
+            fresh = marked.filter(F.col(ACTION).isin(actions)).drop(ACTION)
+            self._replace(spec, delete_inserted(whole, fresh, on))
+            self.release(staged, marked, parts)
+            return result
+        if list(old) != list(new):
+            self._switch(spec, self._pointer(spec)["version"], staged.schema)
+        if counts[INSERTED]:
+            fresh = within(marked.filter(F.col(ACTION) == INSERTED), rewritten=False).drop(ACTION)
             self._write(spec, fresh, "append", dynamic=False)
-        if rewritten:
-            changed = marked.filter(
-                (F.col(ACTION) != UNCHANGED) & F.col(part).isin(rewritten)
-            ).drop(ACTION)
-            old = aligned.filter(F.col(part).isin(rewritten))
-            self._write(spec, delete_inserted(old, changed, on), "overwrite", dynamic=True)
-        self.release(staged, marked)
-        return MergeResult(sum(totals.values()), totals[INSERTED], totals[UPDATED], totals[UNCHANGED])
+        if update and counts[UPDATED]:
+            changed = within(marked.filter(F.col(ACTION) != UNCHANGED), rewritten=True).drop(ACTION)
+            kept = within(aligned, rewritten=True)
+            self._write(spec, delete_inserted(kept, changed, on), "overwrite", dynamic=True)
+        self.release(staged, marked, parts)
+        return result
 
     def insert_ignore(self, spec: TableSpec, batch: DataFrame) -> MergeResult:
         """Append rows with a new key; the rest counts as unchanged."""
@@ -443,11 +493,15 @@ class Warehouse:
         partly = [r[part] for r in tally if r["gone"] < r["n"]]
         emptied = [r[part] for r in tally if r["gone"] == r["n"]]
         if partly:
-            keep = table.filter(F.col(part).isin(partly) & ~F.coalesce(expired, F.lit(False)))
+            chosen = F.col(part).isin([v for v in partly if v is not None])
+            if None in partly:
+                chosen = chosen | F.col(part).isNull()
+            keep = table.filter(chosen & ~F.coalesce(expired, F.lit(False)))
             self._write(spec, keep, "overwrite", dynamic=True)
         for value in emptied:
             # A dynamic overwrite never empties a partition, so drop it.
-            self.delete_path(f"{self.path(spec)}/{part}={value}")
+            folder = NULL_PARTITION if value is None else value
+            self.delete_path(f"{self.path(spec)}/{part}={folder}")
         return sum(r["gone"] for r in tally)
 
     @property
@@ -481,10 +535,3 @@ def store_failures(failures: DataFrame, root: str, check: str) -> str:
     path = f"{root.rstrip('/')}/audit/{check}"
     failures.write.mode("overwrite").parquet(path)
     return path
-
-
-def stamp_load(df: DataFrame, as_of: datetime | None = None, column: str = "ingested_at") -> DataFrame:
-    """Default load time for a raw table that has none."""
-    from obs_engine.functions.metrics import instant
-
-    return df if column in df.columns else df.withColumn(column, instant(as_of))

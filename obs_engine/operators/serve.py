@@ -26,11 +26,8 @@ from obs_engine.schemas import ARC_FEED_LABEL, CONGESTED_STATUSES, STATION_FEED_
 
 Filters = Mapping[str, Sequence] | None
 
-# Row limits of the charts.
-ROW_LIMIT = 10_000
+# Fixed value: length of the report of newest runs.
 LATEST_RUNS = 20
-STATION_PIE_LIMIT = 100
-ARC_PIE_LIMIT = 50
 
 LATEST_RUN_COLUMNS = (
     "pipeline_name", "started_at", "status", "records_received", "records_inserted",
@@ -91,7 +88,7 @@ def duration_series(runs: DataFrame, filters: Filters = None) -> DataFrame:
     """Mean duration per minute, one column per feed (K5)."""
     return pivot_series(
         select(runs, filters), "started_at", "minute", "pipeline_name",
-        [STATION_FEED_LABEL, ARC_FEED_LABEL], exact_mean("duration_seconds"), ROW_LIMIT,
+        [STATION_FEED_LABEL, ARC_FEED_LABEL], exact_mean("duration_seconds"),
     )
 
 
@@ -103,7 +100,6 @@ def volumes(runs: DataFrame, filters: Filters = None) -> DataFrame:
         .groupBy("pipeline_name")
         .agg(*[F.sum(n).alias(n) for n in names])
         .orderBy("pipeline_name")
-        .limit(ROW_LIMIT)
     )
 
 
@@ -154,7 +150,7 @@ def stations_by_status(current: DataFrame, filters: Filters = None) -> DataFrame
     """K12"""
     return share_of_total(
         select(current, filters), "station_status", F.count_distinct("station_id"),
-        "station_count", STATION_PIE_LIMIT,
+        "station_count",
     )
 
 
@@ -165,7 +161,6 @@ def station_points(current: DataFrame, filters: Filters = None) -> DataFrame:
         .select("station_id", "longitude", "latitude", "station_status", "station_name",
                 "docks_available", "bikes_available")
         .orderBy("station_id")
-        .limit(ROW_LIMIT)
     )
 
 
@@ -176,7 +171,7 @@ def bikes_per_day(
     recent = last_month(select(daily, filters), "observation_date", as_of)
     return series(
         recent, "observation_date", "day", exact_mean("average_bikes_available"),
-        "average_bikes_available", limit=ROW_LIMIT,
+        "average_bikes_available",
     )
 
 
@@ -187,11 +182,6 @@ def station_history(fact: DataFrame, station_id: str, n: int = 100) -> DataFrame
     )
 
 
-def latest_observations(fact: DataFrame, n: int = 100) -> DataFrame:
-    """Newest observations of all stations (L3)."""
-    return top_k(fact, "status_updated_at", n, ["observation_id"])
-
-
 # -- arcs ---------------------------------------------------------------------
 
 
@@ -219,8 +209,7 @@ def congested_arcs(current: DataFrame, filters: Filters = None) -> DataFrame:
 def arcs_by_status(current: DataFrame, filters: Filters = None) -> DataFrame:
     """K19"""
     return share_of_total(
-        select(current, filters), "traffic_status", F.count_distinct("arc_id"), "arc_count",
-        ARC_PIE_LIMIT,
+        select(current, filters), "traffic_status", F.count_distinct("arc_id"), "arc_count"
     )
 
 
@@ -231,7 +220,6 @@ def arc_points(current: DataFrame, filters: Filters = None) -> DataFrame:
         .select("arc_id", "longitude", "latitude", "traffic_status", "arc_label", "arc_status",
                 "vehicle_flow", "occupancy_rate")
         .orderBy("arc_id")
-        .limit(ROW_LIMIT)
     )
 
 
@@ -243,5 +231,5 @@ def flow_per_day(
     return series(
         recent, "observation_date", "day",
         weighted_mean("average_vehicle_flow", "vehicle_flow_observation_count"),
-        "mean_daily_flow", limit=ROW_LIMIT,
+        "mean_daily_flow",
     )

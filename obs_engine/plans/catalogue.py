@@ -233,14 +233,14 @@ def minute_series(x: Inputs) -> DataFrame:
 
 @query(
     "minute_pivot",
-    "SELECT date_trunc('hour', ts)::VARCHAR AS ts, "
+    "SELECT date_trunc('minute', ts)::VARCHAR AS ts, "
     + ", ".join(f"count(*) FILTER (event_type = '{b}') AS {b}" for b in EVENT_BUCKETS)
     + " FROM events GROUP BY 1",
 )
 def minute_pivot(x: Inputs) -> DataFrame:
     """A21"""
     wide = agg.pivot_series(
-        x.table("events"), "ts", "hour", "event_type", EVENT_BUCKETS, F.count(F.lit(1))
+        x.table("events"), "ts", "minute", "event_type", EVENT_BUCKETS, F.count(F.lit(1))
     )
     return wide.na.fill(0, list(EVENT_BUCKETS))
 
@@ -252,7 +252,7 @@ FROM events GROUP BY event_type""",
 )
 def type_share(x: Inputs) -> DataFrame:
     """A20, L4"""
-    return agg.share_of_total(x.table("events"), "event_type", F.count(F.lit(1)), "n", 50)
+    return agg.share_of_total(x.table("events"), "event_type", F.count(F.lit(1)), "n")
 
 
 @query(
@@ -347,16 +347,14 @@ def page_totals(x: Inputs) -> DataFrame:
     "page_figures",
     """SELECT sum((n + 99) // 100)::BIGINT AS pages_fetched, sum(n)::BIGINT AS reported_total,
   sum(n)::BIGINT AS records_received, 0 AS faulty_pages, 0 AS incomplete_records,
-  count(*) FILTER (n > 10000) AS incomplete_chunks
+  0 AS incomplete_chunks
 FROM (SELECT count(*) AS n FROM events GROUP BY ts::DATE)""",
 )
 def page_figures(x: Inputs) -> DataFrame:
     """Fetch figures next to the number of faults."""
     landed = _landed(x)
     records = pages.records_of(landed)
-    incomplete = pages.check_completeness(
-        landed, records, pages.ARC_REQUIRED, False, pages.MAX_RECORDS_PER_QUERY
-    )
+    incomplete = pages.check_completeness(landed, records, pages.ARC_REQUIRED, False)
     n = F.count(F.lit(1))
     return agg.side_by_side(
         pages.fetch_stats(landed, records, pages.ARC_REQUIRED),
@@ -893,55 +891,58 @@ def source_freshness(x: Inputs) -> DataFrame:
 @query(
     "orphan_keys",
     """SELECT o_custkey, count(*) AS n_rows FROM orders
-WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) GROUP BY 1""",
+WHERE o_custkey NOT IN (SELECT user_id FROM events) GROUP BY 1""",
 )
 def orphan_keys(x: Inputs) -> DataFrame:
-    """Orders of customers outside a positive-balance dimension."""
-    parents = x.table("customer").filter("c_acctbal > 0")
-    return joins.orphans(x.table("orders"), "o_custkey", parents, "c_custkey")
+    """Orders of customers without any event."""
+    parents = x.table("events").select("user_id").distinct()
+    return joins.orphans(x.table("orders"), "o_custkey", parents, "user_id")
 
 
 @query(
     "missing_daily_rows",
-    """SELECT user_id, ts::DATE::VARCHAR AS observation_date, count(*) AS n_rows FROM events
-GROUP BY 1, 2 HAVING max(value) <= 50""",
+    """SELECT arc_id, observed_at::DATE::VARCHAR AS observation_date, count(*) AS n_rows FROM arc_upserted
+ANTI JOIN arc_base ON arc_upserted.arc_id = arc_base.arc_id
+  AND arc_upserted.observed_at::DATE = arc_base.observed_at::DATE
+GROUP BY 1, 2""",
 )
 def missing_daily_rows(x: Inputs) -> DataFrame:
-    """Event days absent from an aggregate that lacks its quiet days."""
-    e = agg.with_day(x.table("events"), "ts")
-    daily = agg.daily_aggregate(e, "user_id", "ts", {"top": F.max("value")}).filter("top > 50")
-    return joins.keys_without_parent(e, daily, ["user_id", "observation_date"])
+    """Days of the second load absent from the aggregate of the first."""
+    both = merge.upserted(x.arc_raw, x.arc_batch, arcs.KEY, arcs.COMPARED)
+    daily = agg.daily_aggregate(x.arc_raw, "arc_id", "observed_at", {})
+    return joins.keys_without_parent(
+        agg.with_day(both, "observed_at"), daily, ["arc_id", "observation_date"]
+    )
 
 
 @query(
     "reconciled_days",
-    """WITH d AS (SELECT user_id, ts::DATE AS observation_date, count(*) AS expected_count,
-    count(*) FILTER (value > 50) AS expected_high FROM events WHERE event_type <> 'click' GROUP BY 1, 2),
-a AS (SELECT user_id, ts::DATE AS observation_date, count(*) AS stored_count,
-    count(*) FILTER (value > 50) AS stored_high FROM events WHERE event_type <> 'view' GROUP BY 1, 2)
-SELECT user_id, observation_date::VARCHAR AS observation_date, expected_count::DOUBLE AS expected_count,
+    """WITH d AS (SELECT arc_id, observed_at::DATE AS observation_date, count(*) AS expected_count,
+    count(*) FILTER (flow100 > 5000) AS expected_high FROM arc_upserted GROUP BY 1, 2),
+a AS (SELECT arc_id, observed_at::DATE AS observation_date, count(*) AS stored_count,
+    count(*) FILTER (flow100 > 5000) AS stored_high FROM arc_base GROUP BY 1, 2)
+SELECT arc_id, observation_date::VARCHAR AS observation_date, expected_count::DOUBLE AS expected_count,
   stored_count::DOUBLE AS stored_count, expected_high::DOUBLE AS expected_high,
   stored_high::DOUBLE AS stored_high
-FROM d FULL JOIN a USING (user_id, observation_date)
+FROM d FULL JOIN a USING (arc_id, observation_date)
 WHERE expected_count IS DISTINCT FROM stored_count OR expected_high IS DISTINCT FROM stored_high""",
 )
 def reconciled_days(x: Inputs) -> DataFrame:
-    """Two differing day counts compared both ways."""
+    """Day counts after the second load and after the first, compared both ways."""
 
-    def counts(kind: str, prefix: str) -> DataFrame:
-        days = agg.with_day(x.table("events").filter(F.col("event_type") != kind), "ts")
-        return days.groupBy("user_id", "observation_date").agg(
+    def counts(rows: DataFrame, prefix: str) -> DataFrame:
+        return agg.with_day(rows, "observed_at").groupBy("arc_id", "observation_date").agg(
             F.count(F.lit(1)).alias(f"{prefix}_count"),
-            F.count_if(F.col("value") > 50).alias(f"{prefix}_high"),
+            F.count_if(F.col("vehicle_flow") > 50).alias(f"{prefix}_high"),
         )
 
     pairs = [("expected_count", "stored_count"), ("expected_high", "stored_high")]
     out = joins.reconcile(
-        counts("click", "expected"), counts("view", "stored"), ["user_id", "observation_date"],
-        pairs,
+        counts(merge.upserted(x.arc_raw, x.arc_batch, arcs.KEY, arcs.COMPARED), "expected"),
+        counts(x.arc_raw, "stored"), ["arc_id", "observation_date"], pairs,
     )
     return out.select(
-        "user_id", "observation_date", *[F.col(c).cast("double").alias(c) for pair in pairs for c in pair]
+        "arc_id", "observation_date", *[F.col(c).cast("double").alias(c) for pair in pairs for c in pair]
     )
 
 
@@ -1227,10 +1228,10 @@ def serve_records_received(x: Inputs) -> DataFrame:
     / count(*) FILTER (pipeline_name = 'Vélib') AS "Vélib",
   (sum(ms) FILTER (pipeline_name = 'Trafic routier'))::DOUBLE / 1000
     / count(*) FILTER (pipeline_name = 'Trafic routier') AS "Trafic routier"
-FROM all_runs GROUP BY 1 ORDER BY 1 LIMIT 10000""",
+FROM all_runs GROUP BY 1""",
 )
 def serve_duration_series(x: Inputs) -> DataFrame:
-    """The row limit is the chart's."""
+    """Every minute with a run."""
     return serve.duration_series(x.all_runs)
 
 
@@ -1302,7 +1303,7 @@ def serve_stations_by_status(x: Inputs) -> DataFrame:
     "serve_station_points",
     """SELECT station_id, longitude, latitude, station_status, station_name, docks_available,
   bikes_available FROM station_current WHERE longitude IS NOT NULL AND latitude IS NOT NULL
-ORDER BY station_id LIMIT 10000""",
+ORDER BY station_id""",
 )
 def serve_station_points(x: Inputs) -> DataFrame:
     """K13, P25, L5"""
@@ -1370,7 +1371,7 @@ def serve_arcs_by_status(x: Inputs) -> DataFrame:
     "serve_arc_points",
     """SELECT arc_id, longitude, latitude, traffic_status, arc_label, arc_status,
   flow100::DOUBLE / 100 AS vehicle_flow, occ10::DOUBLE / 10 AS occupancy_rate FROM arc_current
-WHERE longitude IS NOT NULL AND latitude IS NOT NULL ORDER BY arc_id LIMIT 10000""",
+WHERE longitude IS NOT NULL AND latitude IS NOT NULL""",
 )
 def serve_arc_points(x: Inputs) -> DataFrame:
     """K20"""
@@ -1535,7 +1536,9 @@ def snapshot_row_counts(x: Inputs) -> DataFrame:
 def _event_files(x: Inputs) -> str:
     """The events as several files, so that a stream sees several micro-batches."""
     path = work_path(x.spark, "event-files")
-    x.table("events").repartition(3, "event_id").write.parquet(path)
+    events = x.table("events")
+    for low in (0, 1):
+        events.filter(F.col("event_id") % 2 == low).write.mode("append").parquet(path)
     return path
 
 
@@ -1543,7 +1546,7 @@ def _event_stream(x: Inputs) -> DataFrame:
     from obs_engine.streaming import flows
 
     return flows.stream_files(
-        x.spark, _event_files(x), x.table("events").schema, files_per_trigger=2
+        x.spark, _event_files(x), x.table("events").schema, files_per_trigger=1
     )
 
 
@@ -1559,8 +1562,8 @@ def stream_upsert(x: Inputs) -> DataFrame:
     wh, path = _warehouse(x, "stream-upsert"), work_path(x.spark, "loads")
     checkpoint = work_path(x.spark, "checkpoint")
     for batch in (x.arc_raw, x.arc_batch):
-        batch.coalesce(2).write.mode("append").parquet(path)
-        stream = flows.stream_files(x.spark, path, x.arc_raw.schema)
+        batch.write.mode("append").parquet(path)
+        stream = flows.stream_files(x.spark, path, x.arc_raw.schema, files_per_trigger=1)
         _finish(flows.upsert_stream(
             stream, wh, arcs.RAW, arcs.COMPARED, ["ingested_at"], checkpoint
         ))
@@ -1636,8 +1639,9 @@ def stream_unique_keys(x: Inputs) -> DataFrame:
 
     path = work_path(x.spark, "twice")
     e = x.table("events").select("user_id", "ts")
-    e.unionByName(e).repartition(3).write.parquet(path)
-    stream = flows.stream_files(x.spark, path, e.schema, files_per_trigger=2)
+    for _ in range(2):
+        e.write.mode("append").parquet(path)
+    stream = flows.stream_files(x.spark, path, e.schema, files_per_trigger=1)
     unique = flows.first_wins_stream(stream, ["user_id", "ts"], "ts", "60 days")
     out = work_path(x.spark, "unique")
     _finish(

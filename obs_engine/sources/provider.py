@@ -11,15 +11,17 @@ from __future__ import annotations
 import base64
 import json
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from obs_engine.sources.pages import MAX_RECORDS_PER_QUERY, PAGE_SIZE
+from obs_engine.sources.pages import MAX_RECORDS_PER_QUERY, PAGE_SIZE, IngestError
 from obs_engine.sources.windows import CHUNK_HOURS, time_chunks
 
+SECOND = timedelta(seconds=1)
+
 PageProvider = Callable[[datetime, datetime, int, int], dict]
 
 
@@ -47,6 +49,7 @@ class PageReader(DataSourceReader):
         self.chunks = json.loads(options["chunks"])
         self.provider = options["provider"]
         self.page_size = int(options.get("pageSize", PAGE_SIZE))
+        self.most = int(options.get("maxRecords", MAX_RECORDS_PER_QUERY))
         if not 1 <= self.page_size <= PAGE_SIZE:
             raise ValueError(f"page size must lie between 1 and {PAGE_SIZE}")
 
@@ -54,20 +57,41 @@ class PageReader(DataSourceReader):
         return [ChunkPartition(n, lo, hi) for n, lo, hi in self.chunks]
 
     def read(self, partition: ChunkPartition):
+        """Pages of one chunk. A window with more records than the API serves is halved.
+
+        The parts of a chunk after its first count as chunks of their own, with numbers
+        above those of the list, so that the page checks see each part's own total.
+        """
         fetch: PageProvider = cloudpickle.loads(base64.b64decode(self.provider))
-        lo, hi = datetime.fromisoformat(partition.start), datetime.fromisoformat(partition.end)
-        offset = 0
-        while True:
-            page = fetch(lo, hi, offset, self.page_size)
-            yield partition.chunk_no, offset, json.dumps(page)
-            # A malformed page ends the chunk; the page checks then report it.
-            results = page.get("results") if isinstance(page, dict) else None
-            total = page.get("total_count") if isinstance(page, dict) else None
-            if not isinstance(results, list) or not isinstance(total, int) or not results:
-                return
-            offset += len(results)
-            if offset >= total or total > MAX_RECORDS_PER_QUERY:
-                return
+        number = partition.chunk_no
+        todo = [(datetime.fromisoformat(partition.start), datetime.fromisoformat(partition.end))]
+        while todo:
+            lo, hi = todo.pop()
+            page = fetch(lo, hi, 0, self.page_size)
+            if (total_of(page) or 0) > self.most:
+                half = (lo + (hi - lo) // 2).replace(microsecond=0)
+                if half < lo or half + SECOND > hi:
+                    raise IngestError(f"more than {self.most} records between {lo} and {hi}")
+                # Windows are closed on both sides; the halves share no second.
+                todo += [(half + SECOND, hi), (lo, half)]
+                continue
+            offset = 0
+            while True:
+                yield number, offset, json.dumps(page)
+                # A malformed page ends the chunk; the page checks then report it.
+                results = page.get("results") if isinstance(page, dict) else None
+                if not isinstance(results, list) or not results or total_of(page) is None:
+                    break
+                offset += len(results)
+                if offset >= total_of(page):
+                    break
+                page = fetch(lo, hi, offset, self.page_size)
+            number += len(self.chunks)
+
+
+def total_of(page) -> int | None:
+    total = page.get("total_count") if isinstance(page, dict) else None
+    return total if isinstance(total, int) else None
 
 
 def fetch_documents(
@@ -77,8 +101,12 @@ def fetch_documents(
     end: datetime,
     hours: int = CHUNK_HOURS,
     page_size: int = PAGE_SIZE,
+    max_records: int = MAX_RECORDS_PER_QUERY,
 ) -> DataFrame:
-    """Fetch a window through ``provider``; one task per chunk."""
+    """Fetch a window through ``provider``; one task per chunk.
+
+    ``max_records`` is the most the API serves for one window: larger ones are halved.
+    """
     spark.dataSource.register(PageSource)
     # The chunk list has one entry per two hours of the requested window.
     chunks = [
@@ -96,6 +124,7 @@ def fetch_documents(
         .option("chunks", json.dumps([(n, f"{lo}+00:00", f"{hi}+00:00") for n, lo, hi in chunks]))
         .option("provider", base64.b64encode(cloudpickle.dumps(provider)).decode())
         .option("pageSize", str(page_size))
+        .option("maxRecords", str(max_records))
         .load()
     )
 

@@ -67,7 +67,7 @@ def test_only_changed_partitions_are_rewritten(spark, warehouse, tmp_path):
     warehouse.upsert(SPEC, batch(spark, ("a", at(1), 1, at(1)), ("a", at(2), 1, at(1))), ["v"])
 
     def files(day):
-        return {f.name for f in (tmp_path / "warehouse/obs" / f"p_day=2026-07-0{day}").glob("*.parquet")}
+        return {f.name for f in (tmp_path / "warehouse/obs").glob(f"*/p_day=2026-07-0{day}/*.parquet")}
 
     before = {d: files(d) for d in (1, 2)}
     warehouse.upsert(SPEC, batch(spark, ("a", at(1), 7, at(2)), ("z", at(2), 7, at(2))), ["v"])
@@ -102,8 +102,52 @@ def test_delete_insert_follows_new_columns(spark, warehouse):
     assert rows(table.select("id", "v", F.coalesce("note", F.lit("-")))) == [
         ("a", 2, "n"), ("b", 1, "-")
     ]
-    with pytest.raises(TypeError):
-        warehouse.delete_insert(SPEC, wider.withColumn("v", F.lit("text")))
+    retyped = wider.withColumn("v", F.col("v").cast("long"))
+    warehouse.delete_insert(SPEC, retyped)
+    assert dict(warehouse.read(SPEC).dtypes)["v"] == "bigint" and warehouse.read(SPEC).count() == 2
+
+
+def test_a_dropped_column_that_returns_is_null(spark, warehouse):
+    first = batch(spark, ("a", at(1), 1, at(1)), ("b", at(2), 1, at(1))).withColumn("extra", F.lit("old"))
+    warehouse.insert_ignore(SPEC, first)
+    warehouse.delete_insert(SPEC, batch(spark, ("c", at(1), 1, at(2))))
+    warehouse.delete_insert(SPEC, batch(spark, ("d", at(1), 1, at(3))).withColumn("extra", F.lit("new")))
+    got = {r["id"]: r["extra"] for r in warehouse.read(SPEC).collect()}
+    assert got == {"a": None, "b": None, "c": None, "d": "new"}
+
+
+def test_duplicate_keys_in_a_batch_are_refused(spark, warehouse):
+    twice = batch(spark, ("a", at(1), 1, at(1)), ("a", at(1), 2, at(1)))
+    for load in (warehouse.insert_ignore, warehouse.delete_insert, lambda s, b: warehouse.upsert(s, b, ["v"])):
+        with pytest.raises(merge.DuplicateKey, match="id=a"):
+            load(SPEC, twice)
+    assert not warehouse.exists(SPEC)
+
+
+def test_an_interrupted_rebuild_leaves_the_table(spark, warehouse, monkeypatch):
+    warehouse.insert_ignore(SPEC, batch(spark, *[(f"k{i}", at(1 + i % 5), i, at(1)) for i in range(100)]))
+    before = rows(warehouse.read(SPEC))
+
+    def die(*_):
+        raise RuntimeError("the driver is gone")
+
+    with monkeypatch.context() as m:
+        m.setattr(warehouse, "_switch", die)
+        with pytest.raises(RuntimeError):
+            warehouse.rebuild(SPEC, batch(spark, ("x", at(1), 1, at(2))))
+    assert rows(warehouse.read(SPEC)) == before
+    assert warehouse.delete_insert(SPEC, batch(spark, ("y", at(1), 1, at(2)))).inserted == 1
+    assert warehouse.read(SPEC).count() == 101
+    assert warehouse.rebuild(SPEC, warehouse.read(SPEC)).count() == 101
+
+
+def test_null_partitions_are_emptied_and_rewritten(spark, warehouse):
+    spec = TableSpec("loose", ("id",), merge.by_day("seen"))
+    df = spark.createDataFrame([("a", None, 1), ("b", None, 2), ("c", at(1), 1)], "id string, seen timestamp_ntz, v int")
+    warehouse.rebuild(spec, df)
+    assert warehouse.delete_where(spec, F.col("v") == 1) == 2
+    assert [r["id"] for r in warehouse.read(spec).collect()] == ["b"]
+    assert warehouse.delete_where(spec, F.col("v") == 2) == 1 and warehouse.read(spec).count() == 0
 
 
 def test_full_refresh_of_a_protected_table_needs_approval(spark, warehouse):
@@ -119,14 +163,17 @@ def test_full_refresh_of_a_protected_table_needs_approval(spark, warehouse):
     merge.guard_full_refresh("t", False, False)
 
 
-def test_many_partitions_are_pruned_by_range(spark, warehouse, monkeypatch):
-    monkeypatch.setattr(merge, "MAX_LISTED_PARTITIONS", 1)
+def test_only_partitions_of_the_batch_are_read(spark, warehouse):
     warehouse.upsert(SPEC, batch(spark, *[("a", at(d), 1, at(1)) for d in range(1, 6)]), ["v"])
     result = warehouse.upsert(
         SPEC, batch(spark, *[("a", at(d), d, at(2)) for d in range(1, 6)]), ["v"]
     )
     assert result == MergeResult(5, 0, 4, 1)
     assert {r[2] for r in rows(warehouse.read(SPEC))} == {1, 2, 3, 4, 5}
+    values = warehouse._with_partition(SPEC, batch(spark, ("a", at(2), 0, at(3)), ("a", at(4), 0, at(3))))
+    near = warehouse.near(SPEC, values)
+    assert {r["v"] for r in near.collect()} == {2, 4}
+    assert "PartitionFilters: [isnotnull(p_day" in near._jdf.queryExecution().executedPlan().toString()
 
 
 def test_delete_where_rewrites_and_drops_partitions(spark, warehouse, tmp_path):
@@ -136,7 +183,7 @@ def test_delete_where_rewrites_and_drops_partitions(spark, warehouse, tmp_path):
     gone = warehouse.delete_where(SPEC, F.col("v") == 1)
     assert gone == 2
     assert rows(warehouse.read(SPEC)) == [("b", at(2), 2, at(1))]
-    assert not (tmp_path / "warehouse/obs/p_day=2026-07-01").exists()
+    assert not list((tmp_path / "warehouse/obs").glob("*/p_day=2026-07-01"))
     assert warehouse.delete_where(SPEC, F.col("v") == 1) == 0
     warehouse.delete_where(SPEC, F.col("v") == 2)
     assert warehouse.read(SPEC).count() == 0  # empty, but still a table

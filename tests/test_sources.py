@@ -35,14 +35,14 @@ def test_last_occurrence_wins_across_pages(spark, tmp_path):
         (0, 2, page(3, arc(iu_ac="101", q=250))),
     ])
     got = dedup_last(pages.records_of(read(spark, root)), KEY, pages.LINEAGE).collect()
-    assert {r["iu_ac"]: r["q"] for r in got} == {"101": "250", "102": "526.0"}
+    assert {r["iu_ac"]: r["q"] for r in got} == {"101": "250", "102": "40.5"}
 
 
 def test_numbers_become_ids_and_blank_nodes_null(spark, tmp_path):
-    root = land(tmp_path / "p", [(0, 0, page(1, arc(iu_ac=6462, iu_nd_amont="", iu_nd_aval=33)))])
+    root = land(tmp_path / "p", [(0, 0, page(1, arc(iu_ac=880, iu_nd_amont="", iu_nd_aval=33)))])
     row = arcs.parse_arcs(pages.records_of(read(spark, root)), None, "r").first()
     assert (row["arc_id"], row["upstream_node_id"], row["downstream_node_id"]) == (
-        "6462", None, "33"
+        "880", None, "33"
     )
 
 
@@ -95,8 +95,8 @@ def test_completeness(spark, tmp_path):
 
 
 def test_chunk_border_is_counted_once(spark, tmp_path):
-    shared = arc(t_1h="2026-07-17T22:00:00+00:00")
-    other = arc(t_1h="2026-07-17T23:00:00+00:00")
+    shared = arc(t_1h="2031-03-09T06:00:00+00:00")
+    other = arc(t_1h="2031-03-09T07:00:00+00:00")
     root = land(tmp_path / "p", [(0, 0, page(1, shared)), (1, 0, page(2, shared, other))])
     p = read(spark, root)
     records = pages.records_of(p)
@@ -117,11 +117,11 @@ def test_complete_arc_record(spark, tmp_path, utc):
     out = arcs.parse_arcs(pages.records_of(read(spark, root)), utc(2026, 7, 18), "run")
     row = out.withColumn("observed_at", F.col("observed_at").cast("string")).first()
     assert row["reject_reasons"] == []
-    assert row["observed_at"] == "2026-07-17 22:00:00"
-    assert float(row["occupancy_rate"]) == 8.13333
-    assert (row["longitude"], row["latitude"]) == (2.379594010595371, 48.89267717769227)
-    assert row["geo_shape"].startswith('{"geometry":{"coordinates":[[2.37,48.89]')
-    assert str(row["source_end_date"]) == "2023-01-01"
+    assert row["observed_at"] == "2031-03-09 05:00:00"
+    assert float(row["occupancy_rate"]) == 2.75
+    assert (row["longitude"], row["latitude"]) == (-17.25, 32.625)
+    assert row["geo_shape"] == '{"coordinates":[[[0,0],[0,1],[1,1],[0,0]]],"type":"Polygon"}'
+    assert str(row["source_end_date"]) == "2030-06-15"
 
 
 @pytest.mark.parametrize(
@@ -250,6 +250,30 @@ def test_provider_chunks_are_partitions_and_land_as_lines(spark, tmp_path, utc):
     assert tuple(pages.fetch_stats(p, records, KEY).first()) == (4, 12, 10)
 
 
+def test_windows_beyond_the_api_limit_are_halved(spark, tmp_path, utc):
+    documents = provider.fetch_documents(
+        spark, arc_provider(), utc(2031, 3, 9, 0), utc(2031, 3, 9, 8), hours=4, max_records=4
+    )
+    path = str(tmp_path / "landed")
+    provider.land_documents(documents, path)
+    p = pages.read_pages(spark, path, ARC_RECORD, layout="lines")
+    assert pages.page_totals(p).filter("highest_total > 4").count() == 0
+    assert pages.page_totals(p).count() > 2
+    crowded = lambda *a: {"total_count": 99, "results": []}
+    chunk = '[[0, "2031-03-09T00:00:00+00:00", "2031-03-09T01:00:00+00:00"]]'
+    reader = provider.PageReader({"chunks": chunk, "provider": encoded(crowded), "maxRecords": "4"})
+    with pytest.raises(pages.IngestError):
+        list(reader.read(reader.partitions()[0]))
+
+
+def encoded(fetch):
+    import base64
+
+    from pyspark import cloudpickle
+
+    return base64.b64encode(cloudpickle.dumps(fetch)).decode()
+
+
 def test_broken_provider_page_is_reported(spark, tmp_path, utc):
     documents = provider.fetch_documents(
         spark, lambda *a: {"total_count": "x"}, utc(2026, 7, 18), utc(2026, 7, 18)
