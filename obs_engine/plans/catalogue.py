@@ -18,7 +18,7 @@ from obs_engine.functions.metrics import mean2, weighted_mean
 from obs_engine.operators import aggregates as agg
 from obs_engine.operators import dedup, joins, merge, quality, retention, serve, snapshot
 from obs_engine.operators.runs import ARC_RUNS, constraint_report, run_rules
-from obs_engine.plans import arcs, checks, incremental, stations
+from obs_engine.plans import arcs, checks, incremental, jobs, stations
 from obs_engine.plans.oracles import (
     ARC_DESCRIPTION,
     ARC_NOW,
@@ -564,6 +564,106 @@ def stored_delete_insert(x: Inputs) -> DataFrame:
     return table.select(*_ARC_COLUMNS, "note")
 
 
+_DELETE_INSERTED = f"""SELECT {_ARC_OUT}, {{old}} AS note
+FROM arc_base ANTI JOIN arc_batch USING (arc_id, observed_at)
+UNION ALL SELECT {_ARC_OUT}, {{new}} FROM arc_batch"""
+
+
+@query("stored_readded_column", _DELETE_INSERTED.format(old="NULL::VARCHAR", new="'new'"))
+def stored_readded_column(x: Inputs) -> DataFrame:
+    """A column is dropped and comes back; stored rows don't show its old values."""
+    wh = _warehouse(x, "readded")
+    wh.delete_insert(arcs.RAW, x.arc_raw.withColumn("note", F.lit("old")))
+    wh.delete_insert(arcs.RAW, x.arc_batch)
+    wh.delete_insert(arcs.RAW, x.arc_batch.withColumn("note", F.lit("new")))
+    return wh.read(arcs.RAW).select(*_ARC_COLUMNS, "note")
+
+
+class _Interrupted(merge.Warehouse):
+    """A warehouse whose driver dies before a new version is switched to."""
+
+    def _switch(self, *_) -> None:
+        raise InterruptedError
+
+
+@query("stored_interrupted_rebuild", _DELETE_INSERTED.format(old="'kept'", new="'kept'"))
+def stored_interrupted_rebuild(x: Inputs) -> DataFrame:
+    """A rebuild that dies leaves the table, and the next merge finds it."""
+    wh = _warehouse(x, "interrupted")
+    wh.rebuild(arcs.RAW, x.arc_raw)
+    try:
+        _Interrupted(x.spark, wh.root).rebuild(arcs.RAW, x.arc_batch)
+    except InterruptedError:
+        pass
+    wh.delete_insert(arcs.RAW, x.arc_batch)
+    return wh.read(arcs.RAW).select(*_ARC_COLUMNS, F.lit("kept").alias("note"))
+
+
+@query(
+    "full_refresh_guarded",
+    """SELECT stationcode, count(*) AS n, true AS refused FROM station_raw GROUP BY stationcode""",
+)
+def full_refresh_guarded(x: Inputs) -> DataFrame:
+    """A protected history is not rebuilt without approval."""
+    wh, kept = _warehouse(x, "guarded"), dataclasses.replace(STATION_RAW, protected=True)
+    wh.rebuild(kept, x.station_raw)
+    refused = False
+    try:
+        wh.rebuild(kept, x.station_raw.withColumn("stationcode", F.lit("gone")))
+    except PermissionError:
+        refused = True
+    n = F.count(F.lit(1))
+    return wh.read(kept).groupBy("stationcode").agg(n.alias("n"), F.lit(refused).alias("refused"))
+
+
+@query(
+    "registered_views",
+    """SELECT arc_id, count(*) AS days, sum(observation_count)::BIGINT AS observations
+FROM arc_daily GROUP BY arc_id""",
+)
+def registered_views(x: Inputs) -> DataFrame:
+    """Models served to SQL under their names."""
+    jobs.register_views({"served_arc_daily": x.arc_daily})
+    return x.spark.sql(
+        "SELECT arc_id, count(*) AS days, sum(observation_count) AS observations "
+        "FROM served_arc_daily GROUP BY arc_id"
+    )
+
+
+def _arc_job(x: Inputs, label: str) -> merge.Warehouse:
+    """A complete run over the events as landed pages."""
+    path, wh = work_path(x.spark, f"{label}-pages"), _warehouse(x, label)
+    x.page_documents().write.text(path)
+    jobs.run_arcs(wh, path, "r1", ARC_AS_OF, layout="lines")
+    return wh
+
+
+@query(
+    "arc_job_daily",
+    """SELECT user_id::VARCHAR AS arc_id, ts::DATE::VARCHAR AS observation_date,
+  count(*) AS observation_count, count(*) FILTER (event_id % 7 <> 0) AS vehicle_flow_observation_count
+FROM events GROUP BY 1, 2""",
+)
+def arc_job_daily(x: Inputs) -> DataFrame:
+    """From landed pages to the stored daily aggregate."""
+    return _arc_job(x, "job").read(arcs.DAILY).select(
+        "arc_id", "observation_date", "observation_count", "vehicle_flow_observation_count"
+    )
+
+
+@query(
+    "arc_job_log",
+    """SELECT 'arcs::r1' AS run_key, 'success' AS status, sum((n + 99) // 100)::BIGINT AS pages_fetched,
+  sum(n)::BIGINT AS records_received, sum(n)::BIGINT AS records_inserted, 0 AS records_updated
+FROM (SELECT count(*) AS n FROM events GROUP BY ts::DATE)""",
+)
+def arc_job_log(x: Inputs) -> DataFrame:
+    """The run row that the job wrote through ``upsert_run``."""
+    return _arc_job(x, "job-log").read(ARC_RUNS).select(
+        "run_key", "status", "pages_fetched", "records_received", "records_inserted", "records_updated"
+    )
+
+
 @query("table_rebuilt", "SELECT stationcode, count(*) AS n FROM station_raw GROUP BY stationcode")
 def table_rebuilt(x: Inputs) -> DataFrame:
     """A full refresh, read back; a second refresh replaces the first."""
