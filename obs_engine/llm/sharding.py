@@ -1,8 +1,9 @@
 """Shards that each hold the same mixture of sources, by proportional interleaving.
 
 The rows of each source are put in a seeded random order; row r of n gets the fraction
-(r - 1/2) / n. Sorting all rows by fraction interleaves the sources in proportion, and
-cutting that order into equal stretches gives shards whose row counts differ by one at
+(r - u) / n, where u between 0 and 1 is the source's own seeded shift, without which the
+rows of small sources would all stand at the same few places. Sorting all rows by
+fraction interleaves the sources in proportion, and cutting that order into equal stretches gives shards whose row counts differ by one at
 most and whose share of every source is that of the whole.
 
 Neither order is ever held in one place. Rows are hashed into parts of about ``PART``
@@ -37,6 +38,7 @@ def interleave(rows: DataFrame, n_shards: int, seed: int = 0, source: str = "sou
     total = keyed.count()
     parts = max(1, -(-total // PART))
     keyed = keyed.withColumn("_part", F.pmod("_h", F.lit(parts)))
+    shift = (F.pmod(F.xxhash64(F.lit(seed), F.lit("shift"), "_nil", "_source"), F.lit(1 << 20)) + 1) / float(1 << 20)
     # Rank within the source, in the order of (part, hash).
     by = ["_nil", "_source"]
     counts = keyed.groupBy(*by, "_part").agg(F.count("*").alias("_n"))
@@ -46,7 +48,7 @@ def interleave(rows: DataFrame, n_shards: int, seed: int = 0, source: str = "sou
     ranked = (
         keyed.withColumn("_row", F.row_number().over(within))
         .join(before, [*by, "_part"])
-        .withColumn("_fraction", (F.col("offset_before") + F.col("_row") - 0.5) / F.col("_size"))
+        .withColumn("_fraction", (F.col("offset_before") + F.col("_row") - shift) / F.col("_size"))
         .drop("_part", "_row", "offset_before", "_size")
     )
     # Rank among all rows, in the order of the fraction; fractions are spread evenly.
