@@ -18,6 +18,12 @@ How a stored merge works, and why it scales:
 Every merge is idempotent: replaying a batch changes nothing, so a job that dies
 between two writes is simply run again.
 
+Beside each version lies a small log of the newest load times: per touched
+partition, written before the rows are, and per table, written after them. A run
+reads from it how far its target got and which partitions of its source hold
+newer loads, so it scans neither table for that; a job that died in between makes
+the next run look at more, never at less.
+
 A table is a folder with a pointer file, which names the folder of the current
 version and its schema. A rebuild, and a batch that drops or retypes a column,
 writes a new version and switches the pointer last, so a job that dies before
@@ -31,7 +37,7 @@ import json
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +55,10 @@ NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 # Partition columns that are not part of the model start with this.
 TECHNICAL = "p_"
 
+# Columns whose newest values are logged.
+LOAD_COLUMNS = ("ingested_at", "loaded_at", "last_loaded_at", "observed_at")
+TOUCHED, STORED = "touched", "stored"
+
 # Increments start here when the target is empty.
 EPOCH = datetime(1900, 1, 1, tzinfo=timezone.utc)
 
@@ -329,10 +339,15 @@ class Warehouse:
         """Write a new version, switch to it, and drop the old one."""
         old = self.path(spec) if self.exists(spec) else None
         version = f"v-{uuid.uuid4().hex}"
-        self._write(spec, full, "error", dynamic=False, path=f"{self.home(spec)}/{version}")
+        path = f"{self.home(spec)}/{version}"
+        self._write(spec, full, "error", dynamic=False, path=path)
+        written = self.spark.read.schema(full.schema).parquet(path)
+        for kind in (TOUCHED, STORED):
+            self._log(spec, written, kind, version)
         self._switch(spec, version, full.schema)
         if old:
             self.delete_path(old)
+            self.delete_path(f"{old}-loads")
 
     def read(self, spec: TableSpec, with_partition: bool = False) -> DataFrame:
         """The table with its declared schema.
@@ -346,11 +361,41 @@ class Warehouse:
         technical = spec.partition.startswith(TECHNICAL)
         return df.drop(spec.partition) if technical and not with_partition else df
 
+    def _log(self, spec: TableSpec, rows: DataFrame, kind: str, version: str | None = None) -> None:
+        """Append the newest load times of ``rows`` to the table's log."""
+        names = [c for c in LOAD_COLUMNS if c in rows.columns]
+        part = F.col(spec.partition) if kind == TOUCHED else F.lit(None).cast(rows.schema[spec.partition].dataType)
+        newest = [F.max(F.unix_micros(F.col(c).cast("timestamp"))).alias(c) for c in names]
+        table = rows.groupBy(part.alias("part")).agg(*newest, F.count(F.lit(1)).alias("n"))
+        each = F.explode(F.map_from_arrays(
+            F.array(*[F.lit(c) for c in names]).cast("array<string>"),
+            F.array(*[F.col(c) for c in names]).cast("array<bigint>"),
+        )).alias("column", "micros")
+        version = version or self._pointer(spec)["version"]
+        table.select(F.lit(kind).alias("kind"), "part", each).filter("micros is not null").coalesce(1).write.mode(
+            "append"
+        ).parquet(f"{self.home(spec)}/{version}-loads")
+
+    def _loads(self, spec: TableSpec, kind: str, loaded: str) -> DataFrame:
+        part = self.read(spec, with_partition=True).schema[spec.partition].dataType.simpleString()
+        log = self.spark.read.schema(f"kind string, part {part}, column string, micros bigint")
+        return log.parquet(f"{self.path(spec)}-loads").filter((F.col("kind") == kind) & (F.col("column") == loaded))
+
     def high_mark(self, spec: TableSpec, loaded: str) -> datetime | None:
-        """Newest load time stored; the column is dictionary-encoded per load."""
-        from obs_engine.sources.windows import watermark_of
+        """Newest load time that was stored, from the log: also of rows deleted since."""
+        if not self.exists(spec):
+            return None
+        micros = self._loads(spec, STORED, loaded).agg(F.max("micros")).first()[0]
+        return None if micros is None else datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(microseconds=micros)
 
-        return watermark_of(self.read(spec), loaded) if self.exists(spec) else None
+    def newer(self, spec: TableSpec, loaded: str, high: datetime | None) -> DataFrame:
+        """Rows loaded after ``high``, read from the partitions that hold such loads."""
+        table = self.read(spec, with_partition=True)
+        if high is None:
+            return table
+        late = F.col("micros") > F.unix_micros(F.lit(high).cast("timestamp"))
+        touched = self._loads(spec, TOUCHED, loaded).filter(late).select(F.col("part").alias(spec.partition))
+        return newer_than(self.near(spec, touched), loaded, high)
 
     # writing
 
@@ -407,6 +452,8 @@ class Warehouse:
         low, high, n, known = values.agg(
             F.min(part), F.max(part), F.count(F.lit(1)), F.count(part)
         ).first()
+        if not n:
+            return table.filter(F.lit(False))
         wanted = values.select(part).distinct().filter(F.col(part).between(F.lit(low), F.lit(high)))
         some = table.filter(F.col(part).between(F.lit(low), F.lit(high))).join(wanted, part, "left_semi")
         some = some.select(*table.columns)
@@ -443,16 +490,17 @@ class Warehouse:
             chosen = parts.filter(F.col("_rewritten") == rewritten).select(F.col(part).alias("_part"))
             return df.join(chosen, F.col(part).eqNullSafe(F.col("_part")), "left_semi")
 
+        actions = [INSERTED, UPDATED] if update else [INSERTED]
+        loads = marked.filter(F.col(ACTION).isin(actions))
         if changed_shape:
             # Dropped or retyped columns leave the files too, so the table is written anew.
             whole = conform(self.read(spec, with_partition=True), staged.schema)
-            actions = [INSERTED, UPDATED] if update else [INSERTED]
-            fresh = marked.filter(F.col(ACTION).isin(actions)).drop(ACTION)
-            self._replace(spec, delete_inserted(whole, fresh, on))
+            self._replace(spec, delete_inserted(whole, loads.drop(ACTION), on))
             self.release(staged, marked, parts)
             return result
         if list(old) != list(new):
             self._switch(spec, self._pointer(spec)["version"], staged.schema)
+        self._log(spec, loads, TOUCHED)
         if counts[INSERTED]:
             fresh = within(marked.filter(F.col(ACTION) == INSERTED), rewritten=False).drop(ACTION)
             self._write(spec, fresh, "append", dynamic=False)
@@ -460,6 +508,7 @@ class Warehouse:
             changed = within(marked.filter(F.col(ACTION) != UNCHANGED), rewritten=True).drop(ACTION)
             kept = within(aligned, rewritten=True)
             self._write(spec, delete_inserted(kept, changed, on), "overwrite", dynamic=True)
+        self._log(spec, loads, STORED)
         self.release(staged, marked, parts)
         return result
 

@@ -947,7 +947,7 @@ def stored_incremental_daily(x: Inputs) -> DataFrame:
     wh = _warehouse(x, "incremental")
     for batch in (x.arc_raw, x.arc_batch):
         wh.upsert(arcs.RAW, batch, arcs.COMPARED)
-        incremental.load_increment(wh, arcs.FACT, wh.read(arcs.RAW), arcs.stage_arcs)
+        incremental.load_increment(wh, arcs.FACT, arcs.RAW, arcs.stage_arcs)
         incremental.refresh_daily(wh, arcs.FACT, arcs.DAILY, "arc_id", arcs.arc_daily)
     return wh.read(arcs.DAILY).select(*_DAILY_COLUMNS)
 

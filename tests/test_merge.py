@@ -116,6 +116,27 @@ def test_a_dropped_column_that_returns_is_null(spark, warehouse):
     assert got == {"a": None, "b": None, "c": None, "d": "new"}
 
 
+def test_increments_read_only_partitions_with_newer_loads(spark, warehouse):
+    spec = TableSpec("seen", ("id", "ts"), by_day("ts"))
+
+    def load(day, hour):
+        rows_ = [("a", at(day), 1, at(hour))]
+        return spark.createDataFrame(rows_, "id string, ts timestamp_ntz, v int, loaded_at timestamp_ntz")
+
+    for day in range(1, 6):
+        warehouse.delete_insert(spec, load(day, day))
+    high = warehouse.high_mark(spec, "loaded_at")
+    assert high.replace(tzinfo=None) == at(5)
+    assert warehouse.newer(spec, "loaded_at", high).count() == 0
+    warehouse.delete_insert(spec, load(2, 9))
+    late = warehouse.newer(spec, "loaded_at", high)
+    assert [r["ts"] for r in late.collect()] == [at(2)]
+    plan = late._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(p_day" in plan
+    warehouse.delete_where(spec, F.col("ts") == at(2))
+    assert warehouse.high_mark(spec, "loaded_at").replace(tzinfo=None) == at(9)
+
+
 def test_duplicate_keys_in_a_batch_are_refused(spark, warehouse):
     twice = batch(spark, ("a", at(1), 1, at(1)), ("a", at(1), 2, at(1)))
     for load in (warehouse.insert_ignore, warehouse.delete_insert, lambda s, b: warehouse.upsert(s, b, ["v"])):
