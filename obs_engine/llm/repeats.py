@@ -44,10 +44,12 @@ SIDE = LENGTH - GRAM
 #: Offsets that share a core.
 CORE = 68
 #: Bytes of windows in one suffix array; more windows of one anchor than CROWD are chunked.
-SHARD, CROWD = 3 << 20, 5000
-CHUNK_WINDOWS, BUCKET_STRINGS = 4096, 1_000_000
-#: Bytes of a text searched at once; parts of a longer text overlap.
-PART = 1 << 22
+SHARD, CROWD = 1 << 20, 1500
+CHUNK_WINDOWS, BUCKET_STRINGS = 1024, 200_000
+#: Bytes of texts searched at once; a longer text is searched in parts.
+PART = 1 << 18
+#: Rows of a batch held as Python objects at once.
+SLICE = 500
 PLACE = [("doc", pa.int64()), ("mark", pa.int64())]
 ANCHOR = [*PLACE, ("begin", pa.int32()), ("lead", pa.int32()), ("size", pa.int32()), ("gram", pa.int64()), ("near", pa.int64())]
 CUT = [*ANCHOR, ("copies", pa.int64()), ("bytes", pa.binary()), ("cores", pa.list_(pa.int64()))]
@@ -63,6 +65,12 @@ def batch_of(fields, columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, fields)], names=[n for n, _ in fields])
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(0, batch.num_rows, SLICE):
+            yield batch.slice(i, SLICE)
+
+
 def anchors_in(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Anchors of a run of texts that begin at ``at``, their strings' first and last starts, and prefix hashes."""
     p = prefix_hash(data)
@@ -98,7 +106,7 @@ def anchors_in(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def parts_of(data: np.ndarray, at: np.ndarray):
     """``(first row, begin in it, bytes, offsets)``: many texts, or a part of one; each string once."""
-    for a, b in chunks(at):
+    for a, b in chunks(at, PART):
         size = int(at[b] - at[a])
         if b == a + 1 and size > PART:
             for s in range(0, size - LENGTH + 1, PART - LENGTH + 1):
@@ -131,7 +139,7 @@ def find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def cut_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The wanted windows of each text with their bytes and the hashes of their cores."""
-    for batch in batches:
+    for batch in slices(batches):
         rows = []
         for doc, mark, text, found in zip(*(batch.column(i).to_pylist() for i in range(4))):
             text = text.encode()
@@ -146,7 +154,7 @@ def cut_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 core = mix((p[b + LENGTH - CORE + 1] - p[b]) * down[b] + group.astype(np.uint64))
                 rows.append((doc, mark, w["begin"], w["lead"], w["size"], w["gram"], w["near"], w["copies"], data,
                              core.view(np.int64)))
-            if len(rows) > 2000:
+            if len(rows) > 1000:
                 yield batch_of(CUT, list(zip(*rows)))
                 rows = []
         if rows:
@@ -213,7 +221,7 @@ def sort_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ]
         return batch_of(SPAN, list(zip(*out)) or [()] * 4)
 
-    for batch in batches:
+    for batch in slices(batches):
         for row in batch.to_pylist():
             if row["gram"] != gram and size >= SHARD:
                 yield flush()
@@ -300,14 +308,15 @@ def crowded(many: DataFrame) -> DataFrame:
 def repeated_spans(texts: DataFrame) -> DataFrame:
     """``(doc, mark, begin, end)``: spans of repeats, overlapping, of ``texts(doc, mark, text)``."""
     found = stored(texts.mapInArrow(find_anchors, ddl(ANCHOR)), "anchors")
-    grams = (
+    # Stored, so that the joins have shuffles on both sides and Spark splits a hot anchor.
+    grams = stored(
         found.groupBy("gram").agg(F.count("*").alias("n"), F.min("near").alias("a"), F.max("near").alias("b"))
-        .where("n > 1").select("gram", (F.col("a") != F.col("b")).alias("mixed"))
+        .where("n > 1").select("gram", (F.col("a") != F.col("b")).alias("mixed")), "grams",
     )
     twice = stored(found.join(grams, "gram"), "repeated_anchors")
     release(found)
     mixed = twice.where("mixed")
-    kinds = mixed.groupBy("gram", "near").agg(F.count("*").alias("copies"))
+    kinds = stored(mixed.groupBy("gram", "near").agg(F.count("*").alias("copies")), "kinds")
     span = ["doc", "mark", "begin", (F.col("begin") + F.col("size")).alias("end")]
     whole = twice.where("not mixed").select(*span).union(
         mixed.join(kinds.where("copies > 1"), ["gram", "near"], "left_semi").select(*span)
@@ -321,7 +330,7 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     )
     cores = windows.select("gram", "near", "copies", F.explode("cores").alias("core")).distinct()
     again = cores.groupBy("core").agg(F.sum("copies").alias("n")).where("n > 1").select("core")
-    useful = cores.join(again, "core", "left_semi").select("gram", "near").distinct()
+    useful = stored(cores.join(again, "core", "left_semi").select("gram", "near").distinct(), "useful")
     crowds = useful.groupBy("gram").agg(F.count("*").alias("windows"))
     kept = stored(windows.drop("cores").join(useful, ["gram", "near"], "left_semi").join(crowds, "gram"), "shard_windows")
     release(windows)
@@ -334,7 +343,7 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
 
 
 def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         size, spans, kept = [], [], []
         for text, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
             data = text.encode()

@@ -166,7 +166,7 @@ def permuted_lcp(t: np.ndarray, sa: np.ndarray) -> np.ndarray:
     real = before >= 0
     follows = real & (i > 0) & (before > 0)
     follows[1:] &= real[:-1]
-    follows &= t[i - 1] == t[before - 1]
+    follows &= t[i - 1] == t[np.maximum(before, 1) - 1]
     first = np.flatnonzero(real & ~follows)
     plcp = np.zeros(n, np.int64)
     live, k = first, 0
