@@ -4,12 +4,18 @@ Every text becomes a set of word runs (shingles) and a signature of 64 minimum h
 The forest holds the signatures in several orders, each a rotation of the 64 values.
 In each sorted order, texts whose longest common prefix is long enough lie side by
 side: a *region*. Regions start at a prefix length at which a pair just at the
-threshold shares one in some order with a chance of at least 1 - 1e-5. Where a region
-is too large for one task, it alone goes deeper, to longer prefixes, until its parts
-fit (adaptive depth); its smallest member then stays a candidate for all the others.
-Members of a region are compared on their full sets, and a region hands on only the
-links that join its groups: fewer than members, whatever the number of similar pairs.
-Equal sets are one class from the start, so copies cost nothing.
+threshold shares one in some order with a chance of at least 1 - 1e-5. Members of a region are
+compared on their full sets, and a region hands on only the links that join its groups:
+fewer than members, whatever the number of similar pairs. Equal sets are one class from
+the start, so copies cost nothing.
+
+A region too large for one task is *crowded*. It is first joined cheaply, by longer
+prefixes (adaptive depth) and by its smallest member. If that leaves it in several groups,
+an exact join on prefix-filter shingles follows: two sets at the threshold share one of
+the rarest shingles of each, as many as one set may lack of the other and one more. Only
+shingles that occur in several groups are followed, and those with too many members for a
+task are compared part against part. So every pair of every region is compared on its
+full sets or is in one group already.
 
 Edge cases: a null or blank text has no shingles and links with nothing. Rows with one
 ``doc_id`` count as one document. A row without ``doc_id`` belongs to no group
@@ -29,8 +35,10 @@ from obs_engine.llm.common import components, fresh, stored
 from obs_engine.llm.textvec import BASE, chunks, flat, mix, shingles, word_hashes
 
 VALUES = 64
-#: A region with more members or shingles than this goes deeper.
+#: A region with more members or shingles than this is crowded.
 REGION_DOCS, REGION_SHINGLES = 4096, 1 << 20
+#: Parts of a hot shingle's rows in a join.
+SALTS = 16
 SKETCH = "doc_id long, n_shingles long, set_hi long, set_lo long, signature binary"
 
 
@@ -124,8 +132,11 @@ def sized(rows: DataFrame) -> DataFrame:
     )
 
 
-def regions(reps: DataFrame, first: int) -> DataFrame:
-    """``(key, rep)``: members of every region, each small enough for one task."""
+def regions(reps: DataFrame, first: int) -> tuple[DataFrame, DataFrame | None]:
+    """``(key, rep)`` of sets that fit one task, and of the crowded regions (None: there are none).
+
+    The first holds all other regions whole, and of the crowded ones what joins them cheaply.
+    """
     fits = (F.col("docs") <= REGION_DOCS) & (F.col("weight") <= REGION_SHINGLES)
     rows = stored(keyed(reps, [first], first).select("rep", "n_shingles", "tree", F.col("keys")[0].alias("key")), "forest")
     found = stored(sized(rows), "regions")
@@ -134,13 +145,14 @@ def regions(reps: DataFrame, first: int) -> DataFrame:
     out = rows.join(once, "key").select("key", "rep")
     over = found.where(~fits)
     if over.isEmpty():
-        return out
-    # The large ones alone: longer prefixes of the same orders.
+        return out, None
+    # The crowded ones alone: longer prefixes of the same orders.
     depths = [d for d in (6, 8, 12, 16, 24, 32, 48, VALUES) if d > first]
     inside = stored(
         rows.join(over.select("key", "leader"), "key")
-        .select("rep", "n_shingles", "tree", "leader"), "crowded",
+        .select("key", "rep", "n_shingles", "tree", "leader"), "crowded",
     )
+    crowded = inside.select("key", "rep")
     deep = keyed(reps.join(inside.select("rep").distinct(), "rep"), depths, first)
     rest = stored(deep.join(inside, ["rep", "n_shingles", "tree"]), "crowded")
     with_leader = inside.where("rep <> leader").select(
@@ -154,7 +166,7 @@ def regions(reps: DataFrame, first: int) -> DataFrame:
         out = out.union(level.join(once, "key").select("key", "rep"))
         over = found.where(~fits)
         if over.isEmpty():
-            return out
+            return out, crowded
         rest = stored(level.join(over.select("key", F.col("leader"), "docs", "weight"), "key").drop("key"), "crowded")
         if i + 1 < len(depths):
             rest = rest.select("rep", "n_shingles", "tree", "keys")
@@ -162,7 +174,137 @@ def regions(reps: DataFrame, first: int) -> DataFrame:
     parts = F.greatest(F.ceil(F.col("docs") / REGION_DOCS), F.ceil(F.col("weight") / REGION_SHINGLES)) * 2
     part = F.xxhash64("tree", "leader", F.pmod(F.xxhash64("rep"), parts))
     split = rest.select(part.alias("key"), "rep", "leader")
-    return out.union(split.select("key", "rep")).union(split.select("key", "leader").distinct())
+    return out.union(split.select("key", "rep")).union(split.select("key", "leader").distinct()), crowded
+
+
+def shingler(size: int):
+    """The shingles of ``(rep, label, text)``; ``mark`` tells texts of one rep apart."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, at = flat(batch.column(2))
+            for a, b in chunks(at):
+                words, first = word_hashes(data[at[a] : at[b]], at[a : b + 1] - at[a])
+                sets = [shingles(words[first[i] : first[i + 1]], size) for i in range(b - a)]
+                ends = np.cumsum([0, *map(len, sets)])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0)[a:b], batch.column(1)[a:b],
+                     pa.array([int(mix(s + np.uint64(7)).sum().view(np.int64)) for s in sets], pa.int64()),
+                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets).view(np.int64)))],
+                    names=["rep", "label", "mark", "grams"],
+                )
+
+    return run
+
+
+def spread(rows: DataFrame, few: DataFrame) -> DataFrame:
+    """``rows`` joined to the one row of ``few`` with their ``gram``; a hot one is dealt over several tasks."""
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
+    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS)))
+    return dealt.join(few.select("*", salts.alias("_salt")), ["gram", "_salt"]).drop("_salt")
+
+
+def joined(size_of: list[int], owns: list[int], labels: list[int], before: list[frozenset], sets: list[frozenset],
+           cross: bool, num: int, den: int) -> Iterator[tuple[int, int]]:
+    """Links between different labels; a pair with a common earlier shingle was compared there."""
+    root = {x: x for x in labels}
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    order = sorted(range(len(sets)), key=size_of.__getitem__)
+    for at, i in enumerate(order):
+        for j in order[at + 1 :]:
+            if den * size_of[i] < num * size_of[j]:
+                break
+            if cross and owns[i] == owns[j]:
+                continue
+            ri, rj = find(labels[i]), find(labels[j])
+            if ri == rj or not before[i].isdisjoint(before[j]):
+                continue
+            both = len(sets[i] & sets[j])
+            if den * both >= num * (size_of[i] + size_of[j] - both):
+                root[rj] = ri
+                yield i, j
+
+
+def compare_parts(num: int, den: int):
+    """Walk rows sorted by shingle and pair of parts; yield links."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, members = None, []
+
+        def flush():
+            reps, owns, labels, before, sets = zip(*members)
+            got = joined([len(s) for s in sets], owns, labels, before, sets, key[1] != key[2], num, den)
+            got = [(reps[i], reps[j]) for i, j in got]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([x for x, _ in got], pa.int64()), pa.array([y for _, y in got], pa.int64())], names=["a", "b"]
+            )
+
+        for batch in batches:
+            keys = list(zip(*(batch.column(i).to_pylist() for i in range(3))))
+            plain = [batch.column(i).to_pylist() for i in range(3, 6)]
+            for n, k in enumerate(keys):
+                if k != key:
+                    if len(members) > 1:
+                        yield flush()
+                    key, members = k, []
+                lists = (frozenset(batch.column(i)[n].values.to_numpy().tolist()) for i in (6, 7))
+                members.append((*(p[n] for p in plain), *lists))
+        if len(members) > 1:
+            yield flush()
+
+    return run
+
+
+def exact_links(crowded: DataFrame, texts: DataFrame, groups: DataFrame, size: int, num: int, den: int) -> DataFrame | None:
+    """``(a, b)``: all that still joins groups within crowded regions, by an exact join."""
+    label = F.coalesce("component", "rep").alias("label")
+    named = stored(crowded.join(groups, crowded.rep == groups.node, "left").select("key", "rep", label), "labelled")
+    several = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
+    left = named.join(several, "key").select("rep", "label").distinct()
+    # Texts with one doc_id may differ: each is a set of its own.
+    sets = stored(
+        left.join(texts.where("text is not null").withColumnRenamed("doc_id", "rep"), "rep").select("rep", "label", "text")
+        .mapInArrow(shingler(size), "rep long, label long, mark long, grams array<long>")
+        .where(F.size("grams") > 0).dropDuplicates(["rep", "mark"]), "sets",
+    )
+    if sets.isEmpty():
+        return None
+    each = sets.select("rep", "label", "mark", F.size("grams").cast("long").alias("n"), F.explode("grams").alias("gram"))
+    shared = each.groupBy("gram").agg(F.count("*").alias("often")).where("often > 1")
+    # The rarest shingles of a set come first, those of no other set before all.
+    rare = F.sort_array(F.collect_list(F.struct("often", "gram")))
+    kept = F.expr(f"greatest(n - (n * {num} + {den - 1}) div {den} + 1 - (n - size(rare)), 0)").cast("int")
+    prefix = spread(each, shared).groupBy("rep", "label", "mark", "n").agg(rare.alias("rare"))
+    prefix = stored(
+        prefix.select("rep", "label", "mark", "n", F.slice("rare", F.lit(1), kept)["gram"].alias("prefix")), "prefixes"
+    )
+    posts = prefix.select("*", F.posexplode("prefix").alias("at", "gram")).select(
+        "rep", "label", "mark", "n", "gram", F.slice("prefix", F.lit(1), F.col("at")).alias("before")
+    )
+    parts = F.greatest(F.ceil(F.count("*") / REGION_DOCS), F.ceil(F.sum("n") / REGION_SHINGLES))
+    found = (
+        posts.groupBy("gram").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), parts.alias("parts"))
+        .where("lo < hi").select("gram", F.when(F.col("parts") > 1, F.col("parts") * 2).otherwise(1).alias("parts"))
+    )
+    own = F.pmod(F.xxhash64("rep", "mark"), F.col("parts"))
+    pairs = (
+        spread(posts, found).withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+        .select("gram", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+                "rep", "own", "label", "before", "mark")
+    )
+    return (
+        pairs.join(sets.select("rep", "mark", "grams"), ["rep", "mark"])
+        .select("gram", "i", "j", "rep", "own", "label", "before", "grams")
+        .repartition("gram", "i", "j").sortWithinPartitions("gram", "i", "j", "rep")
+        .mapInArrow(compare_parts(num, den), "a long, b long")
+    )
 
 
 def linked(sets: list[np.ndarray], num: int, den: int) -> Iterator[tuple[int, int]]:
@@ -239,7 +381,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
     reps = sketch.join(
         classes.select(*same, F.col("rep").alias("doc_id")), [*same, "doc_id"], "left_semi"
     ).withColumnRenamed("doc_id", "rep")
-    members = regions(reps, first)
+    members, crowded = regions(reps, first)
     named = members.join(texts.withColumnRenamed("doc_id", "rep"), "rep").select("key", "rep", "text")
     links = (
         named.repartition("key").sortWithinPartitions("key", "rep")
@@ -252,6 +394,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
         .where("n > 1 and a <> b").select("a", "b")
     )
     groups = components(links.union(shared))
+    if crowded is not None:
+        more = exact_links(crowded, texts, groups, size, num, den)
+        if more is not None:
+            groups = components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
     moved = (
         classes.join(groups, classes.rep == groups.node, "left")
         .select(*same, F.coalesce("component", "rep").alias("component"), "copies", "rep")

@@ -150,6 +150,32 @@ def test_a_star_of_near_copies_in_crowded_regions(spark, monkeypatch):
     assert all(r["kept"] for r in out if r["doc_id"] >= 100)
 
 
+def test_crowded_regions_with_an_outlier_and_chains(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(300)]
+
+    def changed(words, places, mark):
+        words = list(words)
+        for p in places:
+            words[p] = f"{mark}p{p}"
+        return words
+
+    # The smallest id is far from all; the others are near the original (id 70) alone.
+    rows = [(0, " ".join(changed(base, range(0, 300, 5), "o")))]
+    for i in range(1, 120):
+        rows.append((i, " ".join(base if i == 70 else changed(base, rng.choice(298, 5, False) + 1, f"c{i}"))))
+    # A chain: each text differs from the one before it in a few more places.
+    link = [f"k{i}" for i in range(200)]
+    for i in range(30):
+        link = changed(link, range(6 * i, 6 * i + 5), "z")
+        rows.append((200 + (i * 7) % 30, " ".join(link)))
+    expected = brute_components(rows, 3, 85, 100)
+    assert len(set(expected.values())) < 20
+    monkeypatch.setattr(near_dedup, "REGION_DOCS", 6)
+    out = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85, 100).collect()
+    assert {r["doc_id"]: r["component_id"] for r in out} == expected
+
+
 def test_near_duplicates_of_odd_texts(odd, empty):
     out = near_dedup.near_duplicates(odd).collect()
     assert len(out) == odd.count()
