@@ -315,6 +315,28 @@ def test_pseudonyms_round_trip(spark):
     assert pii.pseudonymise(df, "other").where("doc_id = 1").first()["text"] != new
 
 
+def test_pseudonyms_of_long_secrets_and_accounts_before_words(spark):
+    jwt = ".".join(("eyJhbGciOiJIUzI1NiIsInR5cCI6IkpXVCJ9", "eyJ" + "dGVzdA1x" * 31, "c2lnbmF0dXJl" * 3 + "xyz_-A"))
+    long, digits = "Ab3kZ9" * 25, "0123456789abcdef" * 10
+    accounts = ["AT61 1904 3002 3457 3201", "ES9121000418450200051332", "BE68 5390 0754 7034", "NO93 8601 1117 947"]
+    after = [" EUR", " EUR", " 12 times", " AB12 CD34 500"]
+    texts = [f"password={long} end", f"token={jwt} end", f"key {digits} end", f"secret={'q7' * 30_000}"]
+    texts += [f"pay {a}{b}" for a, b in zip(accounts, after)] + [f"{accounts[0]} 4111 1111 1111 1111"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r["doc_id"]: r for r in pii.pseudonymise(df, "k").collect()}
+    assert [out[i]["n_replaced"] for i in range(9)] == [1] * 8 + [2]
+    for i, value in enumerate((long, jwt, digits, "q7" * 100)):
+        new, old = out[i]["text"], texts[i]
+        assert len(new) == len(old) and not any(value[j : j + 24] in new for j in range(0, len(value) - 24, 8))
+    for i, (a, b) in enumerate(zip(accounts, after), 4):
+        new = out[i]["text"]
+        assert new.endswith(b) and a not in new
+        iban = new[4 : 4 + len(a)].replace(" ", "")
+        assert int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
+    back = pii.pseudonymise(spark.createDataFrame([(i, r["text"]) for i, r in out.items()], "doc_id long, text string"), "k", True)
+    assert {r["doc_id"]: r["text"] for r in back.collect()} == dict(enumerate(texts))
+
+
 def test_pseudonyms_leave_the_rest(docs, odd, empty):
     out = pii.pseudonymise(docs, "k")
     back = {r["doc_id"]: r["text"] for r in pii.pseudonymise(out, "k", reverse=True).collect()}
