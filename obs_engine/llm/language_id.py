@@ -3,15 +3,17 @@
 A text is a vector of hashed byte trigrams of its lower-cased letters, weighted by
 1 + ln(count) and inverse document frequency and normalised. The labelled texts of each
 language are clustered (spherical k-means) into a few centroids; a text gets the
-language of the centroid with the largest cosine. A text whose cosine stays below a fifth
-of what nearly all training texts of its length reach is rejected: it is far from every
-centroid.
+language of the centroid with the largest cosine. A text whose cosine stays below two
+fifths of what nearly all training texts of its length and predicted language reach is
+rejected: it is far from every centroid. Lengths shorter than those of the training texts
+take the bound of longer ones, less by the root of the length.
 
-Document frequencies come from all training texts. Clustering uses a sample of about
+Document frequencies and bounds come from all training texts. Clustering uses a sample of about
 ``SAMPLE`` texts per language, chosen by hash. What reaches the driver is bounded by the
 number of features and languages.
 
-Edge cases: a null text, or one without a letter, is ``und`` with score 0 and rejected.
+Edge cases: a null text, or one without a letter, is ``und`` with score 0 and rejected. One with a letter but without a
+trigram says nothing of its language and is not rejected.
 Without any training text all are ``und``. A row without ``doc_id`` is classified but
 not learned from. Ties go to the language first in the alphabet.
 """
@@ -32,8 +34,10 @@ from obs_engine.llm.textvec import chunks, flat, lower_table
 FEATURES = 1 << 13
 SAMPLE, CLUSTERS, ROUNDS = 1500, 4, 12
 #: Below this share of the training texts' low cosines a text is rejected.
-REJECT = 0.2
+REJECT = 0.4
 LENGTHS = 24
+#: The low quantile of cosines, steps of their histogram, and texts a length needs for a bound of its own.
+LOW, STEPS, ENOUGH = 0.005, 1024, 20
 
 
 def letters_table() -> np.ndarray:
@@ -95,7 +99,7 @@ def document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
 
 
 def cluster(idf: np.ndarray):
-    """Centroids of one language, and a low quantile of its cosines per length class."""
+    """Centroids of one language."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("doc_id", kind="stable")
@@ -113,16 +117,57 @@ def cluster(idf: np.ndarray):
             own = np.argmax(v @ c.T, 1)
             c = np.stack([v[own == k].sum(0) if (own == k).any() else c[k] for k in range(len(c))])
             c /= np.maximum(np.sqrt((c * c).sum(1, keepdims=True)), 1e-12)
-        best, size = (v @ c.T).max(1), length_class(counts)
-        low = [float(np.quantile(best[size == k], 0.005)) if (size == k).sum() >= 20 else None for k in range(LENGTHS)]
         return pd.DataFrame({
             "lang": rows["lang"].iloc[0], "cluster": range(len(c)),
-            "centroid": [x.astype("<f4").tobytes() for x in c], "low": [low] * len(c),
+            "centroid": [x.astype("<f4").tobytes() for x in c],
         })
 
     return run
 
 
+def cosines(shared, of: np.ndarray, langs: int):
+    """Counts of training texts per predicted language, length class and step of the cosine."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        idf, centroids = shared.value
+        shape = (langs, LENGTHS, STEPS + 1)
+        n = np.zeros(shape, np.int64)
+        for batch in batches:
+            for _, data, at in small_chunks(batch.column(0)):
+                counts = grams(data, at)
+                cos = weighted(counts, idf) @ centroids
+                step = np.clip(cos.max(1) * STEPS, 0, STEPS).astype(int)
+                np.add.at(n, (of[np.argmax(cos, 1)], length_class(counts), step), 1)
+        cell = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int64()), pa.array(n.reshape(-1)[cell])], names=["cell", "n"])
+
+    return run
+
+
+def bounds(n: np.ndarray) -> np.ndarray:
+    """Least cosine of a text that stays, per language and length class."""
+
+    def low(c: np.ndarray) -> np.ndarray:
+        total, up = c.sum(1), c.cumsum(1)
+        at = (up > (LOW * np.maximum(total - 1, 0))[:, None]).argmax(1) / STEPS
+        at = np.where(total >= ENOUGH, at, np.nan)
+        known = np.flatnonzero(np.isfinite(at))
+        if not len(known):
+            return at
+        for k in range(known[0] + 1, LENGTHS):
+            at[k] = at[k] if np.isfinite(at[k]) else at[k - 1]
+        for k in range(known[0] - 1, -1, -1):
+            at[k] = at[k + 1] / np.sqrt(2)
+        return at
+
+    # A language with too few texts of every length takes the bounds of all.
+    pooled = low(n.sum(0))
+    out = np.stack([x if np.isfinite(x).any() else pooled for x in map(low, n)])
+    out = np.nan_to_num(out) * REJECT
+    out[:, 0] = 0  # no trigram at all
+    return out
+
+
 def classifier(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         idf, centroids, langs, low = shared.value
@@ -133,7 +178,7 @@ def classifier(shared):
                 cos = weighted(counts, idf) @ centroids
                 k = np.argmax(cos, 1)
                 score = cos[np.arange(len(k)), k]
-                best.append(score), who.append(k), gone.append(score < low[length_class(counts)])
+                best.append(score), who.append(k), gone.append(score < low[k, length_class(counts)])
             flat_ = lambda x, t: np.concatenate(x) if x else np.empty(0, t)
             score, k, gone = flat_(best, float), flat_(who, int), flat_(gone, bool)
             lettered = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False).astype(bool)
@@ -194,19 +239,24 @@ def _classified(docs: DataFrame, carried: list[str], folds: int, fold: int | Non
     unit = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
     sample = train.where(unit < F.element_at(F.create_map(*rates), F.col("lang"))).select("doc_id", "lang", "text")
     found = sample.groupBy("lang").applyInPandas(
-        cluster(idf), "lang string, cluster int, centroid binary, low array<double>"
+        cluster(idf), "lang string, cluster int, centroid binary"
     )
     found = sorted(found.collect(), key=lambda r: (r["lang"], r["cluster"]))
     if not found:  # a handful of texts, none in the sample
         return _classified(docs.withColumn("lang", F.lit(None).cast("string")), carried, folds, fold)
     centroids = np.stack([np.frombuffer(r["centroid"], "<f4") for r in found], 1)
-    low = np.array([[0.0 if x is None else x for x in r["low"]] for r in found])
-    # The least of all languages; a length without texts takes that of the next shorter one.
-    low = np.where(low > 0, low, np.inf).min(0)
-    low = np.where(np.isfinite(low), low, 0.0) * REJECT
-    for i in range(1, LENGTHS):
-        low[i] = low[i] or low[i - 1]
-    shared = spark.sparkContext.broadcast((idf, np.ascontiguousarray(centroids), [r["lang"] for r in found], low))
+    langs = sorted({r["lang"] for r in found})
+    of = np.array([langs.index(r["lang"]) for r in found])
+    model = (idf, np.ascontiguousarray(centroids))
+    counted = (
+        train.select("text").mapInArrow(cosines(spark.sparkContext.broadcast(model), of, len(langs)), "cell long, n long")
+        .groupBy("cell").agg(F.sum("n").alias("n"))
+    )
+    n = np.zeros(len(langs) * LENGTHS * (STEPS + 1), np.int64)
+    for r in counted.collect():
+        n[r["cell"]] = r["n"]
+    low = bounds(n.reshape(len(langs), LENGTHS, STEPS + 1))[of]
+    shared = spark.sparkContext.broadcast((*model, [r["lang"] for r in found], low))
     out = T.StructType().add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
     schema = T.StructType([*texts.schema.fields[:-2], *out.fields])
     return texts.mapInArrow(classifier(shared), schema)

@@ -97,6 +97,29 @@ def test_language_of_held_out_texts(spark):
     assert out["rejected"].sum() <= 1
 
 
+def test_foreign_and_random_texts_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    rng = np.random.default_rng(3)
+    code = lambda n: "".join(rng.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"), n))
+    words = lambda n: " ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(n))
+    foreign = [
+        "Η γρήγορη καφέ αλεπού πηδάει πάνω από το τεμπέλικο σκυλί και φεύγει μακριά στο δάσος ",
+        "今天天气很好我们一起去公园散步然后回家吃饭看书写字学习新的知识",
+        "الثعلب البني السريع يقفز فوق الكلب الكسول ويهرب بعيدا إلى الغابة حيث يعيش مع عائلته ",
+        "Szybki brązowy lis przeskakuje nad leniwym psem i ucieka daleko do lasu gdzie mieszka ze swoją rodziną ",
+    ]
+    bad = [*foreign, *(20 * f for f in foreign), code(100), code(3000), words(20), words(400)]
+    clean = [r["text"] for r in docs.where("text is not null and lang is not null").orderBy("doc_id").collect()]
+    clean = [t for t in clean if 4 <= len(t.split()) <= 20][:20]
+    keyed = [f"{t} api_key=sk9f8a7b6c5d4e3f2a1b0c9d8e7f" for t in clean]
+    assert len(clean) > 5
+    start = 10_000_000
+    rows = [(start + i, t, None) for i, t in enumerate([*bad, *clean, *keyed])]
+    more = docs.union(spark.createDataFrame(rows, docs.schema))
+    gone = {r["doc_id"] for r in language_id.identify(more).where(f"rejected and doc_id >= {start}").collect()}
+    assert gone == {start + i for i in range(len(bad))}
+
+
 def test_language_of_odd_texts(odd, empty):
     out = language_id.identify(odd).collect()
     assert len(out) == odd.count()
