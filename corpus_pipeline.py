@@ -43,10 +43,9 @@ def pseudonymised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences: which ids of which document stand where."""
+    """Token sequences: which ids of which document stand where, with the ids (little-endian, 32 bits)."""
     pieces = packing.cut(docs, tokenizer("word_bpe_49k.json"))
-    pieces = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    return packing.pack(pieces).drop("class")
+    return packing.pack(pieces).withColumn("ids_crc32", F.crc32("ids")).drop("class")
 
 
 STAGES = [

@@ -43,8 +43,7 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.cut(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
-    pieces = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    return packing.pack(pieces).select(
+    return packing.pack(pieces).withColumn("ids_crc32", F.crc32("ids")).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
     )
 

@@ -579,6 +579,11 @@ def test_pipeline_stages(spark, docs, odd, tmp_path):
     assert corpus_pipeline.packed(spark, df, SF).count() == 0
 
 
+def test_pipeline_packs_the_ids(spark, docs):
+    rows = corpus_pipeline.packed(spark, docs.limit(50), SF).collect()
+    assert rows and all(len(r["ids"]) == 4 * r["length"] and zlib.crc32(r["ids"]) == r["ids_crc32"] for r in rows)
+
+
 def test_pipeline_keeps_one_of_each_group(spark, docs, local):
     kept = [r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()]
     groups = brute_components(zip(local["doc_id"], local["text"]), 5, 80, 100)
