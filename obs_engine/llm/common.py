@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from obs_engine.session import work_path
 
-__all__ = ["table", "fresh", "stored", "release", "worker_cache", "offsets", "components"]
+__all__ = ["table", "fresh", "stored", "release", "worker_cache", "offsets", "dealt_join", "components"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,6 +71,23 @@ def offsets(counts: DataFrame, by: list[str], order: str, n: str, width: int = 1
     )
 
 
+def dealt_join(rows: DataFrame, by_key: DataFrame, keys: list[str], count: str, mix: list[str]) -> DataFrame:
+    """Inner join with ``by_key``, one row a key, whose column ``count`` bounds the rows a key has.
+
+    A key with more than a thousandth of all rows is dealt by the columns ``mix`` into
+    parts, and its row of ``by_key`` goes to each. There are fewer than 1,000 such keys
+    whatever the tables hold, so their list is broadcast.
+    """
+    total = by_key.agg(F.sum(count)).first()[0] or 0
+    bar = max(1000, total // 1000)
+    parts = F.ceil(F.col(count) / bar).cast("int")
+    hot = by_key.where(F.col(count) > bar).select(*keys, parts.alias("_parts"))
+    part = F.when(F.col("_parts").isNull(), 0).otherwise(F.pmod(F.xxhash64(*mix), F.col("_parts"))).cast("int")
+    dealt = rows.join(F.broadcast(hot), keys, "left").withColumn("_part", part).drop("_parts")
+    all_parts = F.sequence(F.lit(0), F.when(F.col(count) > bar, parts - 1).otherwise(0))
+    return dealt.join(by_key.withColumn("_part", F.explode(all_parts)), [*keys, "_part"]).drop("_part")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``(node, component)``: the smallest node reachable over undirected ``(a, b)`` edges.
 

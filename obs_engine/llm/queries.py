@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obs_engine.llm import decontaminate, language_id, near_dedup, neighbours, packing, pii, repeats, sharding, token_counts, toxicity
+from obs_engine.llm import (
+    decontaminate, language_id, near_dedup, neighbours, oracles, packing, pii, prefix_trie, ranked_search, repeats, sharding,
+    substring_dedup, token_counts, toxicity,
+)
 from obs_engine.llm.common import table
 
 
@@ -81,11 +84,27 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = ranked_search.Index(table(spark, sf_dir, "documents"))
+    return index.search(table(spark, sf_dir, "benchmark"))
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    gone = F.aggregate("runs", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["begin"])
+    return found.select("doc_id", "n_words", gone.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_sharding, op2_language_id, op3_near_duplicates, op4_token_counts, op5_packing,
         op6_pii, op7_repeats, op8_decontamination, op9_neighbours, op10_toxicity,
+        op11_ranked_search, op12_substring_dedup, op13_prefix_trie,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = dict(oracles.ORACLES)
