@@ -8,8 +8,10 @@ class independently: a piece's place follows from its rank in its class, and ran
 from counts per part of the table. Only what is left of each class, less than one bin
 each, is packed together, first fit by falling length.
 
-Edge cases: a null text is an empty document of one token, the end mark. Rows with
-equal ``doc_id`` are packed each for itself. An empty table gives no pieces.
+Edge cases: a null or empty text is a document of one token, the end mark. Long texts are
+encoded whole and cut. Rows with equal or no ``doc_id`` are packed each for itself; pieces
+of equal length are ordered by a hash. Only ``doc_id`` and ``text`` are read. An empty
+table gives no pieces.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from obs_engine.llm.common import offsets, stored, worker_cache
+from obs_engine.llm.common import offsets, release, stored, worker_cache
 
 CAPACITY = 2048
 END_ID = 1
@@ -34,7 +36,8 @@ LOSS, TINY = 1 / 32, 16
 #: Pieces per part of a class within which ranks are counted.
 PART = 50_000
 REMEMBERED = 1_000_000
-PIECES = "doc_id long, start long, length long, doc_tokens long, class int, ids binary"
+ENCODED = "doc_id long, doc_tokens long, ids binary, pieces array<struct<start: long, length: long, class: int>>"
+PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
 def classes(capacity: int) -> list[int]:
@@ -62,79 +65,97 @@ def cuts(n: int, capacity: int, ks: list[int]) -> list[tuple[int, int]]:
     return out
 
 
-# A single mark between an ASCII letter and white space is a token of its own.
-MARK = re.compile(r"(?<=[A-Za-z])([,.!?;:])(?=[ \n]|$)")
-
-
-def words_of(text: str) -> list[bytes]:
-    """Parts of a text that the tokenizer encodes independently of each other."""
-    if "<|" not in text:
-        text = MARK.sub(r" \1", text.lower() if text.isascii() else text)
-    return text.encode().split()
+# A mark at the end of a word is a token of its own behind an ASCII letter.
+MARK = re.compile(rb"(.*[A-Za-z])([,.!?;:])", re.DOTALL)
+#: Stands between words that are encoded together; its last id tells where each ends.
+BETWEEN = "\u25c6"
 
 
 class Ids:
-    """Little-endian 32-bit ids of texts, word by word from a bounded memory."""
+    """Little-endian ids of texts, 16 bits each if the vocabulary allows it, word by word from a bounded memory."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.known: dict[bytes, bytes] = {}
+        self.between = np.array(self.ids_of(BETWEEN))
+
+    def ids_of(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def learn(self, words: list[bytes]) -> None:
+        """Words, none with the separator, encoded together."""
+        mark = len(self.between)
+        for i in range(0, len(words), 2000):
+            part = words[i : i + 2000]
+            text = f" {BETWEEN} ".join([w.decode() for w in part])
+            ids = np.array(self.ids_of(f"{text} {BETWEEN}"), self.kind)
+            ends = np.flatnonzero(ids == self.between[-1])
+            if len(ends) == len(part):
+                raw, size = ids.tobytes(), ids.itemsize
+                starts = np.append(0, ends[:-1] + 1) * size
+                stops = (ends - mark + 1) * size
+                self.known.update((w, raw[a:b]) for w, a, b in zip(part, starts.tolist(), stops.tolist()))
+            else:  # a word holds the separator's last id
+                self.known.update((w, np.array(self.ids_of(w.decode()), self.kind).tobytes()) for w in part)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [words_of(t) for t in texts]
-        new = set()
-        for words in split:
-            new.update(words)
+        split = [(t.lower() if t.isascii() and "<|" not in t else t).encode().split() for t in texts]
+        new = set().union(*split)
         if len(self.known) + len(new) > REMEMBERED:
             self.known.clear()
-        new = list(new.difference(self.known))
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
-            got = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, got))
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+        new.difference_update(self.known)
+        marked = [(w, m[1], m[2]) for w in new if w[-1] in b",.!?;:" and b"<|" not in w and (m := MARK.fullmatch(w))]
+        new.difference_update([w for w, _, _ in marked])
+        new.update([x for _, *both in marked for x in both if x not in self.known])
+        self.learn(list(new))
+        known = self.known
+        known.update((w, known[a] + known[b]) for w, a, b in marked)
+        return [b"".join(map(known.__getitem__, words)) for words in split]
 
 
-def cutter(path: str, capacity: int):
+def encoder(path: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = worker_cache("packing")
         if kept.get("path") != path:
             kept.update(path=path, ids=Ids(path))
-        encode, ks, end = kept["ids"].encode, classes(capacity), np.array([END_ID], "<u4").tobytes()
+        own, ks = kept["ids"], classes(capacity)
+        end = np.array([END_ID], own.kind).tobytes()
         for batch in batches:
             for i in range(0, batch.num_rows, 500):
                 part = batch.slice(i, 500)
-                rows = []
-                for doc, ids in zip(part.column(0).to_pylist(), encode([t or "" for t in part.column(1).to_pylist()])):
-                    ids += end
-                    n, start = len(ids) // 4, 0
-                    for length, k in cuts(n, capacity, ks):
-                        rows.append((doc, start, length, n, k, ids[4 * start : 4 * (start + length)]))
-                        start += length
-                if rows:
-                    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip(zip(*rows), kinds)],
-                        names=["doc_id", "start", "length", "doc_tokens", "class", "ids"],
-                    )
+                ids = [x + end for x in own.encode([t or "" for t in part.column(1).to_pylist()])]
+                n = [len(x) // len(end) for x in ids]
+                cut = [cuts(x, capacity, ks) for x in n]
+                count = np.cumsum([0] + [len(c) for c in cut])
+                flat = np.array([x for c in cut for x in c], np.int64).reshape(-1, 2)
+                begin = np.cumsum(flat[:, 0]) - flat[:, 0]
+                begin -= np.repeat(begin[count[:-1]], np.diff(count))
+                pieces = pa.StructArray.from_arrays(
+                    [pa.array(begin), pa.array(flat[:, 0]), pa.array(flat[:, 1].astype(np.int32))], names=["start", "length", "class"]
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.ListArray.from_arrays(pa.array(count.astype(np.int32)), pieces)],
+                    names=["doc_id", "doc_tokens", "ids", "pieces"],
+                )
 
     return run
 
 
-def cut(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
-    """Pieces of all documents with their ids and class; every id is in exactly one."""
+def encode(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
+    """Ids of all documents and the pieces ``(start, length, class)`` they are cut into; every id is in exactly one."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(cutter(tokenizer_path, capacity), PIECES)
+    return texts.mapInArrow(encoder(tokenizer_path, capacity), ENCODED)
 
 
 def first_fit(capacity: int):
     """Left-over pieces, at most one bin of each class, into as few sequences as they need."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["length", "doc_id", "start"], ascending=[False, True, True], kind="stable")
+        rows = rows.sort_values(["length", "doc", "start"], ascending=[False, True, True], kind="stable")
         free: list[int] = []
         bins, at = [], []
         for length in rows["length"]:
@@ -148,37 +169,67 @@ def first_fit(capacity: int):
     return run
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """``pieces(doc_id, start, length, class, ...)`` with ``sequence_id`` and ``offset``."""
-    rows = stored(pieces.withColumn("_h", F.xxhash64("doc_id", "start", "length", "doc_tokens")), "pieces")
-    totals = {r["class"]: r["n"] for r in rows.groupBy("class").agg(F.count("*").alias("n")).collect()}
+def laid_out(pieces: DataFrame, capacity: int) -> DataFrame:
+    """``pieces(doc, start, length, class)`` with ``sequence_id`` and ``offset``."""
+    totals = {r["class"]: r["n"] for r in pieces.groupBy("class").agg(F.count("*").alias("n")).collect()}
     full = {k: n // k for k, n in totals.items()}
     base, first = {}, 0
     for k in sorted(full):
         base[k], first = first, first + full[k]
-    if not totals:
-        return rows.drop("_h").select("*", F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     of = lambda d: F.element_at(F.create_map(*[F.lit(x) for kv in d.items() for x in kv]), F.col("class"))
     parts = -(-sum(totals.values()) // PART)
-    rows = rows.withColumn("_part", F.pmod("_h", F.lit(parts)))
-    before = offsets(rows.groupBy("class", "_part").agg(F.count("*").alias("n")), ["class"], "_part", "n")
-    within = Window.partitionBy("class", "_part").orderBy("_h", "doc_id", "start")
+    rows = pieces.withColumn("h", F.xxhash64("doc", "start")).withColumn("part", F.pmod("h", F.lit(parts)))
+    before = offsets(rows.groupBy("class", "part").agg(F.count("*").alias("n")), ["class"], "part", "n")
+    within = Window.partitionBy("class", "part").orderBy("h", "doc", "start")
     placed = (
-        rows.withColumn("_row", F.row_number().over(within) - 1)
-        .join(before.drop("n"), ["class", "_part"])
-        .withColumn("_rank", F.col("_row") + F.col("offset_before"))
-        .withColumn("_bin", F.floor(F.col("_rank") / F.col("class")))
-        .withColumn("_full", F.col("_bin") < of(full))
-        .drop("_h", "_part", "_row", "offset_before")
+        rows.withColumn("row", F.row_number().over(within) - 1)
+        .join(before.drop("n"), ["class", "part"])
+        .withColumn("rank", F.col("row") + F.col("offset_before"))
+        .withColumn("bin", F.floor(F.col("rank") / F.col("class")))
+        .withColumn("full", F.col("bin") < of(full))
+        .select("doc", "start", "length", "class", "rank", "bin", "full")
     )
     placed = stored(placed, "placed")
-    filled = Window.partitionBy("class", "_bin").orderBy("_rank").rowsBetween(Window.unboundedPreceding, -1)
-    kept = pieces.columns
-    whole = placed.where("_full").select(
-        *kept, (F.col("_bin") + of(base)).cast("long").alias("sequence_id"),
+    filled = Window.partitionBy("class", "bin").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
+    whole = placed.where("full").select(
+        "doc", "start", "length", (F.col("bin") + of(base)).cast("long").alias("sequence_id"),
         F.coalesce(F.sum("length").over(filled), F.lit(0)).cast("long").alias("offset"),
     )
-    rest = placed.where("not _full").select(*kept, F.lit(first).cast("long").alias("base"))
-    schema = f"{rest.drop('base')._jdf.schema().toDDL()}, base long, sequence_id long, offset long"
+    rest = placed.where("not full").select("doc", "start", "length", F.lit(first).cast("long").alias("base"))
+    schema = "doc long, start long, length long, base long, sequence_id long, offset long"
     tail = rest.groupBy("base").applyInPandas(first_fit(capacity), schema).drop("base")
-    return whole.union(tail)
+    out = stored(whole.union(tail), "layout")
+    release(placed)
+    return out
+
+
+def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each document's ids dealt to its pieces, 32 bits each."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, 200):
+            rows = []
+            for doc, n, raw, placed in zip(*(batch.slice(i, 200).column(c).to_pylist() for c in range(4))):
+                ids = np.frombuffer(raw, "<u2" if len(raw) == 2 * n else "<u4").astype("<u4").tobytes()
+                for p in placed:
+                    start, length = p["start"], p["length"]
+                    rows.append((doc, start, length, n, p["sequence_id"], p["offset"], ids[4 * start : 4 * (start + length)]))
+            if rows:
+                kinds = (pa.int64(),) * 6 + (pa.binary(),)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*rows), kinds)],
+                    names=["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"],
+                )
+
+
+def pack(encoded: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """All pieces of ``encoded`` documents with their ids, ``sequence_id`` and ``offset``.
+
+    Only places are shuffled and sorted; the ids are joined to the finished layout, once.
+    """
+    # The number is fixed when the table is written; nothing counts it again.
+    rows = stored(encoded.withColumn("doc", F.monotonically_increasing_id()), "encoded")
+    pieces = rows.select("doc", F.explode("pieces").alias("p")).select("doc", "p.*")
+    layout = laid_out(pieces, capacity)
+    of_doc = layout.groupBy("doc").agg(F.collect_list(F.struct("start", "length", "sequence_id", "offset")).alias("placed"))
+    joined = rows.select("doc", "doc_id", "doc_tokens", "ids").join(of_doc, "doc")
+    return joined.select("doc_id", "doc_tokens", "ids", "placed").mapInArrow(assemble, PIECES)

@@ -45,8 +45,8 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.cut(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
-    return packing.pack(pieces).withColumn("ids_crc32", F.crc32("ids")).select(
+    encoded = packing.encode(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+    return packing.pack(encoded).withColumn("ids_crc32", F.crc32("ids")).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
     )
 

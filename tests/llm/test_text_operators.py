@@ -287,9 +287,10 @@ def test_packing_round_trip(spark, docs, local, monkeypatch):
 def test_words_are_encoded_as_in_their_text():
     tokenizer = Tokenizer.from_file(queries.tokenizer("word_bpe_49k.json"))
     texts = ["It's, done. OK!? Été, 3.5 x.. <|endoftext|> a<|startoftext|>B", "Å H̱o İ x y", "don't stop.\nNow; a,b: c", "", " \x1c\x85 ", "你好，世界."]
+    texts += [f"a{packing.BETWEEN}b c", packing.BETWEEN, "x.y, (z), it's: 4. end."]
     ids = packing.Ids(queries.tokenizer("word_bpe_49k.json")).encode(texts)
     for text, got in zip(texts, ids):
-        assert np.frombuffer(got, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(got, "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
 def test_cuts_fill_classes():
@@ -301,11 +302,11 @@ def test_cuts_fill_classes():
 
 def test_packing_of_odd_rows(odd, empty):
     path = queries.tokenizer("word_bpe_49k.json")
-    pieces = packing.cut(odd, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    out = packing.pack(pieces).collect()
+    clashing = odd.selectExpr("*", "1 AS ids", "2 AS pieces", "3 AS doc", "4 AS class", "5 AS sequence_id")
+    out = packing.pack(packing.encode(clashing, path)).collect()
     assert sorted(r["length"] for r in out if r["doc_id"] in (3, 4)) == [1, 1]
     assert sum(r["length"] for r in out if r["start"] == 0 and r["doc_id"] == 1) > 0
-    assert packing.pack(packing.cut(empty, path).drop("ids")).count() == 0
+    assert packing.pack(packing.encode(empty, path)).count() == 0
 
 
 # --- pseudonyms
