@@ -44,8 +44,8 @@ def pseudonymised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences: which ids of which document stand where, with the ids (little-endian, 32 bits)."""
-    pieces = packing.cut(docs, tokenizer("word_bpe_49k.json"))
-    return packing.pack(pieces).withColumn("ids_crc32", F.crc32("ids")).drop("class")
+    encoded = packing.encode(docs, tokenizer("word_bpe_49k.json"))
+    return packing.pack(encoded).withColumn("ids_crc32", F.crc32("ids"))
 
 
 STAGES = [
