@@ -135,7 +135,7 @@ def stretches_of(words: np.ndarray, first: np.ndarray):
 
 def find_stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Anchored stretches of ``(doc, mark, text)``."""
-    for batch in batches:
+    for batch in (b.slice(i, SLICE) for b in batches for i in range(0, b.num_rows, SLICE)):
         docs, marks = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
         data, at = flat(batch.column(2))
         for a, b in chunks(at, PART):
@@ -322,12 +322,14 @@ def crowded(leaves: DataFrame) -> DataFrame:
 def repeated_runs(texts: DataFrame) -> DataFrame:
     """``(doc, mark, begin, end)``: runs of repeated words, in words, of ``texts(doc, mark, text)``."""
     found = stored(texts.mapInArrow(find_stretches, ddl(STRETCH)), "stretches")
+    sizes = stored(found.groupBy("prefix").agg(F.count("*").alias("n")).where("n > 1"), "prefixes")
+    members = stored(dealt_join(found, sizes, ["prefix"], "n", ["doc", "mark", "begin"]).drop("n"), "members")
+    release(found)
     bodies = stored(
-        found.groupBy("prefix", "body").agg(F.count("*").alias("copies"), F.min(F.struct("doc", "mark", "begin", "lead", "windows")).alias("one")),
+        members.groupBy("prefix", "body").agg(F.count("*").alias("copies"), F.min(F.struct("doc", "mark", "begin", "lead", "windows")).alias("one")),
         "bodies",
     )
-    prefixes = bodies.groupBy("prefix").agg(F.sum("copies").alias("n"), F.count("*").alias("leaves")).where("n > 1")
-    prefixes = stored(prefixes.select("prefix", "leaves"), "prefixes")
+    prefixes = stored(bodies.groupBy("prefix").agg(F.count("*").alias("leaves")), "prefixes")
     twice = stored(dealt_join(bodies, prefixes, ["prefix"], "leaves", ["body"]), "repeated")
     release(bodies)
 
@@ -344,12 +346,12 @@ def repeated_runs(texts: DataFrame) -> DataFrame:
     runs = runs.union(copies).groupBy("prefix", "body").agg(F.flatten(F.collect_list("runs")).alias("runs"))
     runs = stored(runs.join(twice.select("prefix", "body", "copies"), ["prefix", "body"]), "runs")
     release(twice)
-    members = dealt_join(found.select("doc", "mark", "begin", "prefix", "body"), runs, ["prefix", "body"], "copies", ["doc", "mark", "begin"])
+    members = dealt_join(members.select("doc", "mark", "begin", "prefix", "body"), runs, ["prefix", "body"], "copies", ["doc", "mark", "begin"])
     pair = F.explode(F.transform(F.sequence(F.lit(0), F.floor(F.size("runs") / 2).cast("int") - 1), lambda i: F.slice("runs", i * 2 + 1, 2)))
     each = members.select("doc", "mark", "begin", pair.alias("run"))
     spans_ = each.select("doc", "mark", (F.col("begin") + F.col("run")[0]).alias("begin"), (F.col("begin") + F.col("run")[1] + LENGTH).alias("end"))
     out = stored(spans_, "word_runs")
-    release(found), release(runs)
+    release(runs)
     return out
 
 
