@@ -293,6 +293,19 @@ def test_words_are_encoded_as_in_their_text():
         assert np.frombuffer(got, "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_letters_are_merged_as_by_the_tokenizer(docs):
+    path = queries.tokenizer("word_bpe_49k.json")
+    tokenizer, ids = Tokenizer.from_file(path), packing.Ids(path)
+    rng = np.random.default_rng(5)
+    signs = list("abcdefghijklmnopqrstuvwxyzABCXYZéèàüößçñåÆŒŁžıǆſKİ'.,!<|>_#$&*-3\u0301\U0001f600")
+    words = {"".join(rng.choice(signs, rng.integers(1, 10))) for _ in range(20_000)}
+    words |= {w for r in docs.collect() for w in (r["text"] or "").split(" ")}
+    words = sorted(w for w in words if w.strip())
+    got = ids.encode(words)
+    for w, mine, theirs in zip(words, got, tokenizer.encode_batch(words, add_special_tokens=False)):
+        assert np.frombuffer(mine, "<u2").tolist() == theirs.ids, w
+
+
 def test_cuts_fill_classes():
     ks = packing.classes(2048)
     for n in range(0, 9000):
