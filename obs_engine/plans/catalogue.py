@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import dataclasses
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from obs_engine.functions.metrics import mean2, weighted_mean
 from obs_engine.operators import aggregates as agg
 from obs_engine.operators import dedup, joins, merge, quality, retention, serve, snapshot
 from obs_engine.operators.runs import ARC_RUNS, constraint_report, run_rules
-from obs_engine.plans import arcs, checks, incremental, jobs, stations
+from obs_engine.plans import arcs, checks, feed, incremental, jobs, stations
 from obs_engine.plans.oracles import (
     ARC_DESCRIPTION,
     ARC_NOW,
@@ -36,6 +37,7 @@ from obs_engine.plans.stand_ins import ARC_AS_OF, RUN_AS_OF, STATION_AS_OF, Inpu
 from obs_engine.schemas import ARC_RECORD
 from obs_engine.session import work_path
 from obs_engine.sources import pages, windows
+from obs_engine.streaming import expiring, flows
 
 Run = Callable[[Inputs], DataFrame]
 QUERIES: dict[str, Run] = {}
@@ -1643,8 +1645,6 @@ def _event_files(x: Inputs) -> str:
 
 
 def _event_stream(x: Inputs) -> DataFrame:
-    from obs_engine.streaming import flows
-
     return flows.stream_files(
         x.spark, _event_files(x), x.table("events").schema, files_per_trigger=1
     )
@@ -1657,8 +1657,6 @@ def _finish(stream_query) -> None:
 @query("stream_upsert", f"SELECT {_ARC_OUT} FROM arc_upserted")
 def stream_upsert(x: Inputs) -> DataFrame:
     """Both loads as a stream of files equal the batch upsert."""
-    from obs_engine.streaming import flows
-
     wh, path = _warehouse(x, "stream-upsert"), work_path(x.spark, "loads")
     checkpoint = work_path(x.spark, "checkpoint")
     for batch in (x.arc_raw, x.arc_batch):
@@ -1685,8 +1683,6 @@ _EVENT_FIRST = merge.TableSpec("event_first", ("user_id", "hour"), merge.by_day(
 )
 def stream_daily(x: Inputs) -> DataFrame:
     """One-day windows in update mode, kept in a stored table."""
-    from obs_engine.streaming import flows
-
     wh = _warehouse(x, "stream-daily")
     days = flows.day_window_stream(
         _event_stream(x), "user_id", "ts", {"maximum_value": F.max("value")}, "60 days"
@@ -1702,8 +1698,6 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC)
 )
 def stream_latest(x: Inputs) -> DataFrame:
     """Latest state per key as a running aggregate."""
-    from obs_engine.streaming import flows
-
     wh = _warehouse(x, "stream-latest")
     state = flows.latest_state_stream(
         _event_stream(x).select("user_id", "event_id", "event_type", "ts"), ["user_id"], ["ts"]
@@ -1712,6 +1706,119 @@ def stream_latest(x: Inputs) -> DataFrame:
     return wh.read(_EVENT_LATEST)
 
 
+_ENDS = ("2024-01-11", "2024-01-21", "2024-01-31")
+_POLLED = f"""w0 AS (SELECT max(ts) AS m FROM events WHERE ts <= '{_ENDS[0]}' AND event_id % 10 <> 3),
+w1 AS (SELECT max(ts) AS m FROM events WHERE ts <= '{_ENDS[1]}'),
+seen AS (
+  SELECT e.*, event_id % 7 <> 0 AS has_flow, ts <= '{_ENDS[0]}' AND event_id % 10 <> 3 AS p0,
+    ts >= date_trunc('second', w0.m - INTERVAL 2 HOUR) AND ts <= '{_ENDS[1]}' AS p1,
+    ts >= date_trunc('second', w1.m - INTERVAL 2 HOUR) AND ts <= '{_ENDS[2]}' AS p2
+  FROM events e, w0, w1)"""
+
+
+def _polled(x: Inputs, label: str) -> tuple[merge.Warehouse, list]:
+    """Three polls of a feed that corrects and delays records, into one warehouse."""
+    wh, checkpoint = _warehouse(x, label), work_path(x.spark, f"{label}-checkpoint")
+    path = work_path(x.spark, f"{label}-feed")
+    feed.feed_records(x).repartitionByRange("t").sortWithinPartitions("t").write.parquet(path)
+    loads = []
+    for n, end in enumerate(_ENDS):
+        at = datetime.fromisoformat(end).replace(tzinfo=timezone.utc)
+        loads += jobs.poll_arcs(
+            wh, feed.StoredFeed(path, n), checkpoint, f"poll-{n}", at, initial_hours=264, hours=24
+        )
+    return wh, loads
+
+
+@query(
+    "polled_arcs",
+    f"""WITH {_POLLED}
+SELECT user_id::VARCHAR AS arc_id, ts::VARCHAR AS observed_at,
+  CASE WHEN has_flow THEN round(value + CASE WHEN event_id % 10 = 0 AND (p1 OR p2) THEN 1
+    WHEN event_id % 10 = 5 AND p2 THEN 1 ELSE 0 END, 2) END AS vehicle_flow,
+  CASE WHEN has_flow AND event_id % 10 = 5 AND p2 AND (p0 OR p1) THEN '{_ENDS[2]} 00:00:00'
+       WHEN has_flow AND event_id % 10 = 0 AND p0 AND p1 THEN '{_ENDS[1]} 00:00:00'
+       WHEN p0 THEN '{_ENDS[0]} 00:00:00' WHEN p1 THEN '{_ENDS[1]} 00:00:00' ELSE '{_ENDS[2]} 00:00:00' END AS ingested_at
+FROM seen WHERE p0 OR p1 OR p2""",
+)
+def polled_arcs(x: Inputs) -> DataFrame:
+    """Three polled windows with late corrections, and when each row was loaded."""
+    wh, _ = _polled(x, "polled")
+    return wh.read(arcs.RAW).select("arc_id", "observed_at", "vehicle_flow", "ingested_at")
+
+
+@query(
+    "polled_counts",
+    f"""WITH {_POLLED}
+SELECT 0 AS poll, count(*) AS received, count(*) AS inserted, 0 AS updated FROM seen WHERE p0
+UNION ALL SELECT 1, count(*), count(*) FILTER (NOT p0), count(*) FILTER (p0 AND has_flow AND event_id % 10 = 0) FROM seen WHERE p1
+UNION ALL SELECT 2, count(*), count(*) FILTER (NOT (p0 OR p1)),
+  count(*) FILTER ((p0 OR p1) AND has_flow AND event_id % 10 = 5) FROM seen WHERE p2""",
+)
+def polled_counts(x: Inputs) -> DataFrame:
+    """What each poll received, inserted and corrected."""
+    _, loads = _polled(x, "polled-counts")
+    rows = [(n, r.received, r.inserted, r.updated) for n, r in enumerate(loads)]
+    return x.spark.createDataFrame(rows, "poll LONG, received LONG, inserted LONG, updated LONG")
+
+
+_ROUNDS = 4
+# Rounds by event number; every fifth row comes one round late.
+_DELIVERED = f"""delivered AS (
+  SELECT e.*, least(event_id * {_ROUNDS} // (SELECT max(event_id) + 1 FROM events)
+    + CASE WHEN event_id % 5 = 3 THEN 1 ELSE 0 END, {_ROUNDS - 1})::BIGINT AS round FROM events e),
+marks AS (SELECT round, max(max(epoch_ms(ts))) OVER (ORDER BY round ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 7200000 AS mark
+  FROM delivered GROUP BY round),
+live AS (SELECT d.* FROM delivered d JOIN marks USING (round) WHERE epoch_us(ts) >= coalesce(mark, 0) * 1000)"""
+
+
+def _in_rounds(x: Inputs, label: str, emitted) -> DataFrame:
+    """Events delivered in rounds, some late, to ``emitted(stream)``; all it emits, with the round."""
+    source, out = work_path(x.spark, f"{label}-source"), work_path(x.spark, f"{label}-out")
+    checkpoint = work_path(x.spark, f"{label}-checkpoint")
+    events = x.table("events")
+    n = F.lit(events.agg(F.max("event_id")).first()[0] + 1)
+    late = F.when(F.col("event_id") % 5 == 3, 1).otherwise(0)
+    rounds = F.least(F.floor(F.col("event_id") * _ROUNDS / n) + late, F.lit(_ROUNDS - 1)).cast("long")
+    for i in range(_ROUNDS):
+        events.withColumn("round", rounds).where(F.col("round") == i).drop("round").write.mode("append").parquet(source)
+        stream = flows.stream_files(x.spark, source, events.schema)
+        write = lambda batch, _, i=i: batch.withColumn("round", F.lit(i).cast("long")).write.mode("append").parquet(out)
+        _finish(flows.each_batch(emitted(stream), write, checkpoint, "update"))
+    return x.spark.read.parquet(out)
+
+
+@query(
+    "stream_expiring_latest",
+    f"""WITH {_DELIVERED},
+best AS (SELECT user_id, round, arg_max(event_id, (ts, event_id)) AS event_id, max(ts) AS ts FROM live GROUP BY user_id, round),
+runs AS (SELECT *, max(ts) OVER (PARTITION BY user_id ORDER BY round ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM best)
+SELECT user_id, event_id, ts::VARCHAR AS ts, round FROM runs WHERE before IS NULL OR ts > before""",
+)
+def stream_expiring_latest(x: Inputs) -> DataFrame:
+    """Each change of a key's latest row; state expires, rows over two hours late are dropped."""
+    def latest(stream: DataFrame) -> DataFrame:
+        return expiring.expiring_latest(stream.select("user_id", "event_id", "ts"), ["user_id"], "ts", "event_id", "2 hours")
+
+    return _in_rounds(x, "expiring-latest", latest).select("user_id", "event_id", "ts", "round")
+
+
+@query(
+    "stream_expiring_first",
+    f"""WITH {_DELIVERED}
+SELECT user_id, date_trunc('hour', ts)::VARCHAR AS hour, event_id, round FROM live
+QUALIFY row_number() OVER (PARTITION BY user_id, date_trunc('hour', ts) ORDER BY round, ts, event_id) = 1""",
+)
+def stream_expiring_first(x: Inputs) -> DataFrame:
+    """The first row of a key to arrive stays; a late one is kept within two hours, else dropped."""
+    def first(stream: DataFrame) -> DataFrame:
+        hour = F.date_trunc("hour", F.col("ts"))
+        rows = stream.select("user_id", hour.alias("hour"), "event_id", "ts", (hour + F.make_dt_interval(hours=F.lit(1))).alias("hour_end"))
+        return expiring.expiring_first(rows, ["user_id", "hour"], "ts", "event_id", "2 hours", "hour_end")
+
+    return _in_rounds(x, "expiring-first", first).select("user_id", "hour", "event_id", "round")
+
+
 @query(
     "stream_first_wins",
     "SELECT user_id, date_trunc('hour', ts)::VARCHAR AS hour, min(ts)::VARCHAR AS ts FROM events GROUP BY 1, 2",
@@ -1722,8 +1829,6 @@ def stream_first_wins(x: Inputs) -> DataFrame:
     The oracle's first row per hour is the earliest; all files come in one
     micro-batch, where the earliest row is the first.
     """
-    from obs_engine.streaming import flows
-
     wh = _warehouse(x, "stream-first")
     hourly = flows.stream_files(x.spark, _event_files(x), x.table("events").schema).select(
         "user_id", F.date_trunc("hour", F.col("ts")).alias("hour"), "ts"
@@ -1735,8 +1840,6 @@ def stream_first_wins(x: Inputs) -> DataFrame:
 @query("stream_unique_keys", "SELECT user_id, ts::VARCHAR AS ts FROM events")
 def stream_unique_keys(x: Inputs) -> DataFrame:
     """Every event delivered twice, deduplicated within the watermark."""
-    from obs_engine.streaming import flows
-
     path = work_path(x.spark, "twice")
     e = x.table("events").select("user_id", "ts")
     for _ in range(2):

@@ -311,28 +311,19 @@ class Inputs:
 
     # pages
 
-    def page_documents(self, per_page: int = 100) -> DataFrame:
-        """The events as API pages, one chunk per day: JSON lines ``value``.
-
-        Event ids are dense in time order, so a record's offset within its day
-        is its id minus the day's first id: no window over a day is needed, and
-        a page gathers at most ``per_page`` records.
-        """
+    def arc_record(self, flow: Column) -> Column:
+        """An event as a record of the arc API, with the given flow."""
         user, n = F.col("user_id"), F.col("event_id")
-        e = self.table("events").withColumn("day", day_of("ts"))
-        days = e.groupBy("day").agg(
-            F.min("event_id").alias("first_id"), F.count(F.lit(1)).alias("total_count")
-        )
         clock_text = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
         point = F.struct((user % 90).alias("lon"), (user % 80).alias("lat"))
         shape = F.struct(
             F.lit("Point").alias("type"), F.array(user % 90, user % 80).alias("coordinates")
         )
-        record = F.struct(
+        return F.struct(
             user.cast("string").alias("iu_ac"),
             F.concat(F.lit("arc "), user).alias("libelle"),
             F.concat(clock_text, F.lit("+00:00")).alias("t_1h"),
-            F.when(n % 7 != 0, F.col("value")).alias("q"),
+            F.when(n % 7 != 0, flow).alias("q"),
             F.when(n % 11 != 0, F.get_json_object("props", "$.k").cast("int")).alias("k"),
             F.col("event_type").alias("etat_trafic"),
             F.when(user % 9 != 0, user).alias("iu_nd_aval"),
@@ -340,6 +331,19 @@ class Inputs:
             F.when(user % 50 != 0, point).alias("geo_point_2d"),
             shape.alias("geo_shape"),
         )
+
+    def page_documents(self, per_page: int = 100) -> DataFrame:
+        """The events as API pages, one chunk per day: JSON lines ``value``.
+
+        Event ids are dense in time order, so a record's offset within its day
+        is its id minus the day's first id: no window over a day is needed, and
+        a page gathers at most ``per_page`` records.
+        """
+        n, record = F.col("event_id"), self.arc_record(F.col("value"))
+        e = self.table("events").withColumn("day", day_of("ts"))
+        days = e.groupBy("day").agg(
+            F.min("event_id").alias("first_id"), F.count(F.lit(1)).alias("total_count")
+        )
         pages = (
             e.join(days, "day")
             .withColumn("n", n - F.col("first_id"))

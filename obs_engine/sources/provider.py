@@ -129,10 +129,14 @@ def fetch_documents(
     )
 
 
-def land_documents(documents: DataFrame, path: str) -> None:
-    """Write fetched documents in the ``lines`` layout read by ``read_pages``."""
-    head = (
+def as_lines(documents: DataFrame) -> DataFrame:
+    """Fetched documents in the ``lines`` layout, one column ``value``."""
+    return documents.selectExpr(
         "concat('{\"chunk_no\":', chunk_no, ',\"offset\":', offset, ',', "
         "substring(ltrim(document), 2)) as value"
     )
-    documents.selectExpr(head).write.mode("error").text(path)
+
+
+def land_documents(documents: DataFrame, path: str) -> None:
+    """Write fetched documents in the ``lines`` layout read by ``read_pages``."""
+    as_lines(documents).write.mode("error").text(path)

@@ -59,6 +59,25 @@ def each_batch(
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def each_poll(
+    documents: DataFrame, action: Callable[[DataFrame, int], None], checkpoint: str
+) -> None:
+    """One poll of ``polled_documents``. A poll that died is made again before the new one.
+
+    Spark runs one micro-batch of such a source per start, and a replay is that batch, so
+    the query is started until it finds nothing more to ask for.
+    """
+    ran = [True]
+
+    def noted(batch: DataFrame, number: int) -> None:
+        action(batch, number)
+        ran.append(True)
+
+    while ran:
+        ran.clear()
+        each_batch(documents, noted, checkpoint).awaitTermination()
+
+
 def upsert_stream(
     df: DataFrame,
     warehouse: Warehouse,
