@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
+from obs_engine.functions.keys import day_of
 from obs_engine.functions.metrics import STATION_STATUSES
 from obs_engine.operators import quality as q
+from obs_engine.operators.check_plan import COUNT, EQUAL, PRESENT, CheckPlan, KeySide
 from obs_engine.operators.quality import TableChecks
 from obs_engine.plans import arcs
 from obs_engine.schemas import (
@@ -21,6 +24,7 @@ from obs_engine.schemas import (
 
 _BOTH = (True, False)
 
+# Columns and accepted values of the declared data tests.
 SOURCES: dict[str, TableChecks] = {
     "raw_stations": TableChecks(not_null=("stationcode", "last_reported", "ingested_at")),
     "raw_road_traffic": TableChecks(
@@ -185,16 +189,50 @@ def business_checks(t: Mapping[str, DataFrame], as_of: datetime | None = None) -
     return {n: (df, "warn" if n in warn_only else "error") for n, df in checks.items()}
 
 
-def run_all_checks(t: Mapping[str, DataFrame], as_of: datetime | None = None) -> DataFrame:
-    """Every declared and business check whose tables are present in ``t``."""
-    declared = {
-        name: checks
-        for name, checks in DECLARED.items()
-        if name in t and all(p in t for p in checks.parents.values())
-    }
-    out = q.run_table_checks(t, declared)
-    for name, (failing, severity) in business_checks(t, as_of).items():
-        out = out.unionByName(q.counted(name, failing, severity))
-    return out
+def check_plan(t: Mapping[str, DataFrame], as_of: datetime | None = None) -> CheckPlan:
+    """Declared and business checks of the tables in ``t``, compiled to one pass over each."""
+    plan = CheckPlan()
+    for name, declared in DECLARED.items():
+        if name in t and all(p in t for p in declared.parents.values()):
+            plan.declare(name, declared)
+    traffic, arc = list(arcs.TRAFFIC_COUNTERS.values()), list(arcs.ARC_COUNTERS.values())
+    plan.row_check("bike_breakdown_matches_total", "fct_station_status", q.breakdown_differs())
+    plan.row_check("bikes_under_capacity", "fct_station_status", q.exceeds_capacity(), "warn")
+    plan.row_check("non_negative_availability", "fct_station_status", q.below_zero())
+    plan.row_check("valid_station_coordinates", "dim_stations", q.off_the_globe())
+    plan.row_check("valid_traffic_measurements", "fct_road_traffic", q.out_of_measure())
+    plan.row_check("station_daily_consistent", "agg_station_daily", q.station_day_wrong())
+    plan.row_check("arc_daily_consistent", "agg_road_traffic_daily", q.arc_day_wrong(traffic, arc))
+    for name, staged, current, entity in (
+        ("station_status_row_count", "stg_stations", "station_current", "station_id"),
+        ("arc_status_row_count", "stg_road_traffic", "arc_current", "arc_id"),
+    ):
+        sides = [(staged, KeySide(name, (F.col(entity),))), (current, KeySide(name, (F.lit(""),), right=True))]
+        plan.key_check(name, COUNT, sides)
+    name, n = "station_daily_matches_fact", "observation_count"
+    fact, daily = t["fct_station_status"], t["agg_station_daily"]
+    sides = [
+        ("fct_station_status", KeySide(name, (F.col("station_id"), day_in(fact, "status_updated_at")), measures=(F.lit(1),))),
+        ("agg_station_daily", KeySide(name, (F.col("station_id"), F.col("observation_date")), True, (F.col(n),))),
+    ]
+    plan.key_check(name, PRESENT, sides)
+    name, since = "arc_daily_matches_fact", q.kept_since(as_of)
+    fact = t["fct_road_traffic"]
+    day = day_in(fact, "observed_at")
+    measured = (F.lit(1), F.col("vehicle_flow").isNotNull().cast("int"), F.col("occupancy_rate").isNotNull().cast("int"))
+    stored = (F.col(n), *[F.col(c) for c in q.MEASURED])
+    sides = [
+        ("fct_road_traffic", KeySide(name, (F.col("arc_id"), day), False, measured, day > since)),
+        ("agg_road_traffic_daily", KeySide(name, (F.col("arc_id"), F.col("observation_date")), True, stored, F.col("observation_date") > since)),
+    ]
+    plan.key_check(name, EQUAL, sides)
+    return plan
+
 
+def day_in(fact: DataFrame, ts: str) -> Column:
+    return F.col("observation_date") if "observation_date" in fact.columns else day_of(ts)
 
+
+def run_all_checks(t: Mapping[str, DataFrame], as_of: datetime | None = None) -> DataFrame:
+    """Every declared and business check whose tables are present in ``t``."""
+    return check_plan(t, as_of).results(t)
