@@ -16,8 +16,10 @@ Every block is searched by every query, queries in packs; a group holds one bloc
 pack, whatever the table's size. The best ``k`` of each block are merged by rank.
 
 Edge cases: rows without id, and vectors that are null, zero, hold null or non-finite
-components, or have another length than most, take no part. Equal rows count once.
-With fewer than ``k`` other vectors all are returned. Equal products are ordered by id.
+components, take no part. Vectors of one length are searched among themselves, since
+those of different lengths have no product. Equal rows count once. With fewer than ``k``
+other vectors all are returned. Equal products are ordered by id. Very long vectors are
+searched like short ones; other columns are not read. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,11 +31,11 @@ from pyspark.sql import functions as F
 
 from obs_engine.llm.common import stored
 
-BLOCK, PACK = 8192, 2048
+BLOCK, PACK = 8192, 16_384
 PROJECTIONS, ALPHA, BETA, SPARE = 128, 0.92, 0.05, 300
 #: Half the first window's width, for vectors scaled to a largest norm of 1.
 FIRST_WIDTH, RATIO = 1.5, 1.06
-INDEX = "block int, ids binary, vectors binary, lines binary, places binary"
+INDEX = "dims int, block int, packs int, ids binary, vectors binary, lines binary, places binary"
 
 
 def usable(vector: str) -> Column:
@@ -45,16 +47,17 @@ def directions(dims: int) -> np.ndarray:
     return np.random.default_rng(dims).standard_normal((dims, PROJECTIONS)).astype(np.float32)
 
 
-def build(top: float):
-    """One block's sorted projections."""
+def build(double: bool):
+    """One block's sorted projections, beside its vectors as they are."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        x = np.stack(rows["vector"].to_numpy()).astype(np.float32)
-        rest = np.sqrt(np.maximum(top * top - (x.astype(np.float64) ** 2).sum(1), 0)).astype(np.float32)
-        p = (np.column_stack((x, rest)) / np.float32(top)) @ directions(x.shape[1] + 1)
+        x = np.stack(rows["vector"].to_numpy()).astype("<f8" if double else "<f4")
+        top = float(rows["top"].iloc[0])
+        rest = np.sqrt(np.maximum(1 - ((x.astype(np.float64) / top) ** 2).sum(1), 0))
+        p = np.column_stack((x / top, rest)).astype(np.float32) @ directions(x.shape[1] + 1)
         order = np.argsort(p, 0, kind="stable").astype(np.int32)
         return pd.DataFrame({
-            "block": [int(rows["block"].iloc[0])], "ids": [rows["id"].to_numpy("<i8").tobytes()], "vectors": [x.tobytes()],
+            "dims": [x.shape[1]], "block": [int(rows["block"].iloc[0])], "packs": [int(rows["packs"].iloc[0])], "ids": [rows["id"].to_numpy("<i8").tobytes()], "vectors": [x.tobytes()],
             "lines": [np.ascontiguousarray(np.take_along_axis(p, order, 0).T).tobytes()],
             "places": [np.ascontiguousarray(order.T).tobytes()],
         })
@@ -62,14 +65,17 @@ def build(top: float):
     return run
 
 
-def candidates(q: np.ndarray, lines: np.ndarray, places: np.ndarray, want: int) -> list[np.ndarray]:
-    """For each projected query the rows of a block that collide with it often enough."""
+def candidates(q: np.ndarray, lines: np.ndarray, places: np.ndarray, want: int, width: float) -> tuple[list[np.ndarray], float]:
+    """For each projected query the rows of a block that collide with it often enough, and the usual width.
+
+    Windows open at ``width``; counting what they miss costs the less, the wider they open.
+    """
     n = lines.shape[1]
     spare = PROJECTIONS - int(np.ceil(ALPHA * PROJECTIONS))  # arrays that may not collide
     out: list[np.ndarray] = [np.empty(0, np.int64)] * len(q)
     missed = [np.zeros(n, np.int64)] * len(q)
     low = high = None
-    live, width = np.arange(len(q)), FIRST_WIDTH
+    live, widths = np.arange(len(q)), np.zeros(len(q))
     while len(live):
         lo = np.stack([np.searchsorted(s, x - width, "left") for s, x in zip(lines, q[live].T)], 1)
         hi = np.stack([np.searchsorted(s, x + width, "right") for s, x in zip(lines, q[live].T)], 1)
@@ -83,20 +89,20 @@ def candidates(q: np.ndarray, lines: np.ndarray, places: np.ndarray, want: int)
                 missed[name] -= np.bincount(np.concatenate(ring), minlength=n)
             found = np.flatnonzero(missed[name] <= spare)
             if len(found) >= want:
-                out[name], on[i] = found, False
+                out[name], on[i], widths[name] = found, False, width
         low, high, live = lo[on], hi[on], live[on]
         width *= RATIO
-    return out
+    return out, float(np.median(widths))
 
 
-def search(k: int, top: float):
+def search(k: int, double: bool):
     """All queries of one pack in one block."""
 
     def run(queries: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
         out = {"query_id": [], "query": [], "vec_id": [], "score": []}
         if len(queries) and len(index):
             ids = np.frombuffer(index["ids"].iloc[0], "<i8")
-            x = np.frombuffer(index["vectors"].iloc[0], np.float32).reshape(len(ids), -1)
+            x = np.frombuffer(index["vectors"].iloc[0], "<f8" if double else "<f4").reshape(len(ids), -1)
             lines = np.frombuffer(index["lines"].iloc[0], np.float32).reshape(PROJECTIONS, -1)
             places = np.frombuffer(index["places"].iloc[0], np.int32).reshape(PROJECTIONS, -1)
             want = min(len(ids), k + 1 + SPARE + int(BETA * len(ids)))
@@ -104,7 +110,13 @@ def search(k: int, top: float):
             # The extra component of a query is 0; its length doesn't matter to the order.
             unit = original / np.sqrt((original**2).sum(1, keepdims=True))
             projected = unit.astype(np.float32) @ directions(x.shape[1] + 1)[:-1]
-            found = [c for i in range(0, len(projected), 64) for c in candidates(projected[i : i + 64], lines, places, want)]
+            # The first queries tell how wide windows get in this block; the others open them there.
+            found, width = [], FIRST_WIDTH
+            while len(found) < len(projected):
+                part = projected[len(found) : len(found) + (64 if found else 8)]
+                some, usual = candidates(part, lines, places, want, width)
+                found += some
+                width = max(FIRST_WIDTH, usual / RATIO)
             for name, mark, q, c in zip(queries["id"], queries["query"], original, found):
                 c = c[ids[c] != name]
                 score = (x[c].astype(np.float64) * q).sum(1)
@@ -120,30 +132,32 @@ def search(k: int, top: float):
 
 def nearest(vectors: DataFrame, queries: Column, k: int = 20, id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """``(query_id, rank, vec_id, score)``: for rows where ``queries`` holds, their ``k`` nearest others."""
+    double = "double" in vectors.schema[vector].dataType.simpleString()
     good = vectors.where(F.col(id).isNotNull() & usable(vector)).select(
-        F.col(id).cast("long").alias("id"), F.col(vector).cast("array<float>").alias("vector"),
+        F.col(id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vector"),
         F.coalesce(queries, F.lit(False)).alias("asks"),
     ).dropDuplicates(["id", "vector"])
-    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x))
+    # Scaled by the largest component first: squares of very large or small numbers are no numbers.
+    most = F.array_max(F.transform("vector", F.abs))
+    norm = most * F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + (x / most) * (x / most)))
     good = stored(good.withColumn("norm", norm).withColumn("dims", F.size("vector")), "vectors")
-    sizes = good.groupBy("dims").agg(F.count("*").alias("n"), F.max("norm").alias("top"), F.sum(F.col("asks").cast("int")).alias("q")).collect()
-    schema = "query_id long, rank int, vec_id long, score double"
-    if not sizes:
-        return vectors.sparkSession.createDataFrame([], schema)
-    most = max(sizes, key=lambda r: (r["n"], -r["dims"]))
-    good = good.where(F.col("dims") == most["dims"])
-    blocks, packs = -(-most["n"] // BLOCK), max(1, -(-(most["q"] or 0) // PACK))
+    # Vectors of one length are a space of their own.
+    spaces = good.groupBy("dims").agg(F.count("*").alias("n"), F.max("norm").alias("top"), F.count_if("asks").alias("q"))
+    spaces = stored(spaces.select(
+        "dims", "top", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"), F.greatest(F.lit(1), F.ceil(F.col("q") / PACK)).cast("int").alias("packs")
+    ), "spaces")
+    good = good.join(spaces, "dims")
     mark = F.xxhash64("id", "vector")
-    block = F.pmod(mark, F.lit(blocks)).cast("int").alias("block")
-    index = stored(good.select("id", "vector", block).groupBy("block").applyInPandas(build(most["top"]), INDEX), "index")
-    pack = F.pmod(F.xxhash64(F.lit(1), mark), F.lit(packs)).cast("int").alias("pack")
-    asked = good.where("asks").select("id", "vector", mark.alias("query"), pack)
-    asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    index = index.withColumn("pack", F.explode(F.sequence(F.lit(0), F.lit(packs - 1))))
-    by = ["block", "pack"]
+    block = F.pmod(mark, F.col("blocks")).cast("int").alias("block")
+    index = stored(good.select("id", "vector", "top", "dims", block, "packs").groupBy("dims", "block").applyInPandas(build(double), INDEX), "index")
+    pack = F.pmod(F.xxhash64(F.lit(1), mark), F.col("packs")).cast("int").alias("pack")
+    asked = good.where("asks").select("id", "vector", mark.alias("query"), pack, "dims", "blocks")
+    asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    index = index.withColumn("pack", F.explode(F.sequence(F.lit(0), F.col("packs") - 1)))
+    by = ["dims", "block", "pack"]
     found = (
         asked.groupBy(*by).cogroup(index.groupBy(*by))
-        .applyInPandas(search(k, most["top"]), "query_id long, query long, vec_id long, score double")
+        .applyInPandas(search(k, double), "query_id long, query long, vec_id long, score double")
     )
     order = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

@@ -544,6 +544,15 @@ def test_neighbours_of_odd_vectors(spark):
     assert neighbours.nearest(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_neighbours_keep_doubles_and_each_length(spark):
+    rows = [(0, [1 / 3, 1e-9]), (1, [1 / 3, 1e-9]), (2, [1 / 3, 2e-9]), (20, [3.0]), (3, [1e200]), (4, [-1.0]), (40, [1.0, 2.0, 3.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    out = neighbours.nearest(df, F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect()
+    near, far = (1 / 3) ** 2 + 2e-18, (1 / 3) ** 2 + 1e-18
+    assert [(r.query_id, r.vec_id) for r in out if r.query_id] == [(20, 3), (20, 4)] and out[-1].score == -3.0
+    assert sorted(r.vec_id for r in out if not r.query_id) == [1, 2] and {near, far} >= {r.score for r in out[:2]}
+
+
 # --- toxicity
 
 
