@@ -49,6 +49,9 @@ from obs_engine.session import pin_utc, work_path
 INSERTED, UPDATED, UNCHANGED = "inserted", "updated", "unchanged"
 ACTION = "_action"
 
+# Rows of one row group in tables with lookup columns.
+ROW_GROUP_ROWS = 20_000
+
 # Folder name of the NULL partition.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
@@ -56,7 +59,7 @@ NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 TECHNICAL = "p_"
 
 # Columns whose newest values are logged.
-LOAD_COLUMNS = ("ingested_at", "loaded_at", "last_loaded_at", "observed_at")
+LOAD_COLUMNS = ("ingested_at", "loaded_at", "last_loaded_at", "last_seen_at", "observed_at")
 TOUCHED, STORED = "touched", "stored"
 
 # Increments start here when the target is empty.
@@ -245,6 +248,8 @@ class TableSpec:
     layout: Partitioning
     sort: tuple[str, ...] = ()
     protected: bool = False
+    #: Columns looked up by value: sorted first, with Bloom filters and narrow row groups.
+    lookup: tuple[str, ...] = ()
 
     @property
     def partition(self) -> str:
@@ -421,16 +426,23 @@ class Warehouse:
     ) -> None:
         # Rebalancing groups a partition's rows into few files but splits a hot
         # partition over many tasks; sorting lets scans skip row groups.
-        laid_out = df.hint("rebalance", spec.partition).sortWithinPartitions(
-            spec.partition, *(spec.sort or spec.key)
-        )
+        order = [*spec.lookup, *[c for c in spec.sort or spec.key if c not in spec.lookup]]
+        laid_out = df.hint("rebalance", spec.partition).sortWithinPartitions(spec.partition, *order)
         (
             laid_out.write.mode(mode)
+            .options(**self._lookup_options(spec))
             .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
             .partitionBy(spec.partition)
             .parquet(path or self.path(spec))
         )
 
+    @staticmethod
+    def _lookup_options(spec: TableSpec) -> dict[str, str]:
+        if not spec.lookup:
+            return {}
+        blooms = {f"parquet.bloom.filter.enabled#{c}": "true" for c in spec.lookup}
+        return {"parquet.block.row.count.limit": str(ROW_GROUP_ROWS), **blooms}
+
     def rebuild(
         self, spec: TableSpec, df: DataFrame, allow_destructive_full_refresh: bool = False
     ) -> DataFrame:

@@ -49,7 +49,7 @@ RAW = TableSpec("raw_road_traffic", KEY, by_day("observed_at"))
 DIM = TableSpec("dim_road_arcs", ("arc_id",), by_bucket("arc_id"))
 FACT = TableSpec(
     "fct_road_traffic", ("observation_id",), by_day("observed_at"),
-    sort=KEY, protected=True,
+    sort=KEY, protected=True, lookup=("arc_id",),
 )
 DAILY = TableSpec(
     "agg_road_traffic_daily", ("daily_traffic_id",), by_day("observation_date", column="observation_date"),

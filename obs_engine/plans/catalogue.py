@@ -17,9 +17,9 @@ from obs_engine.functions import parsing as p
 from obs_engine.functions.keys import day_of, surrogate_key, time_text
 from obs_engine.functions.metrics import mean2, weighted_mean
 from obs_engine.operators import aggregates as agg
-from obs_engine.operators import dedup, joins, merge, quality, retention, serve, snapshot
+from obs_engine.operators import dedup, joins, lookup, merge, quality, retention, serve, snapshot
 from obs_engine.operators.runs import ARC_RUNS, constraint_report, run_rules
-from obs_engine.plans import arcs, checks, feed, incremental, jobs, stations
+from obs_engine.plans import arcs, checks, dimensions, feed, incremental, jobs, stations
 from obs_engine.plans.oracles import (
     ARC_DESCRIPTION,
     ARC_NOW,
@@ -290,6 +290,31 @@ def entity_history(x: Inputs) -> DataFrame:
     )
 
 
+_EVENTS = merge.TableSpec("events_by_day", ("event_id",), merge.by_day("ts"), lookup=("user_id",))
+
+
+@query("indexed_latest", f"SELECT event_id, user_id, {text('ts')}, value FROM events ORDER BY events.ts DESC, event_id DESC LIMIT 100")
+def indexed_latest(x: Inputs) -> DataFrame:
+    """L3: the newest 100 rows of a stored table, from its newest partitions."""
+    wh = _warehouse(x, "latest")
+    wh.rebuild(_EVENTS, x.table("events").select("event_id", "user_id", "ts", "value"))
+    return lookup.newest_rows(wh, _EVENTS, 100, ["event_id"])
+
+
+@query(
+    "indexed_history",
+    f"""SELECT observation_id, station_id, bikes_available, station_status,
+  {text('status_updated_at')} FROM station_fact WHERE station_id = '7'
+ORDER BY station_fact.status_updated_at DESC, observation_id DESC LIMIT 100""",
+)
+def indexed_history(x: Inputs) -> DataFrame:
+    """One station's newest rows from the stored fact, by its lookup column."""
+    wh = _warehouse(x, "history")
+    wh.rebuild(STATION_FACT, x.station_fact)
+    found = lookup.entity_history(wh, STATION_FACT, "station_id", "7", 100, ["observation_id"])
+    return found.select("observation_id", "station_id", "bikes_available", "station_status", "status_updated_at")
+
+
 # -- pages and parsing --------------------------------------------------------
 
 
@@ -666,6 +691,40 @@ def arc_job_log(x: Inputs) -> DataFrame:
     )
 
 
+_HALF = "2024-01-16"
+_DIM_TIMES = ("first_observed_at", "last_observed_at", "first_loaded_at", "last_loaded_at")
+
+
+def _dimension_loads(x: Inputs, label: str) -> merge.Warehouse:
+    """Half of the arc rows, then the rest, with the dimension refreshed after each."""
+    wh = _warehouse(x, label)
+    late = F.col("ingested_at") >= F.lit(_HALF).cast("timestamp")
+    for part in (x.arc_raw.filter(~late), x.arc_raw.filter(late)):
+        wh.upsert(arcs.RAW, part, arcs.COMPARED)
+        dimensions.refresh_dimension(wh, dimensions.ARCS)
+    return wh
+
+
+@query("stored_dimension", f"SELECT arc_id, s.arc_label AS arc_label, {text(*_DIM_TIMES)} FROM arc_dim")
+def stored_dimension(x: Inputs) -> DataFrame:
+    """A dimension after an increment, merged from the new rows alone."""
+    return _dimension_loads(x, "dimension").read(arcs.DIM).select("arc_id", "arc_label", *_DIM_TIMES)
+
+
+@query(
+    "stored_dimension_corrected",
+    """SELECT arc_id, min(observed_at)::VARCHAR AS first_observed_at, max(observed_at)::VARCHAR AS last_observed_at,
+  min(ingested_at)::VARCHAR AS first_loaded_at, max(ingested_at)::VARCHAR AS last_loaded_at
+FROM arc_upserted GROUP BY arc_id""",
+)
+def stored_dimension_corrected(x: Inputs) -> DataFrame:
+    """The same after corrections, some of an arc's first load."""
+    wh = _dimension_loads(x, "dimension-corrected")
+    wh.upsert(arcs.RAW, x.arc_batch, arcs.COMPARED)
+    dimensions.refresh_dimension(wh, dimensions.ARCS)
+    return wh.read(arcs.DIM).select("arc_id", *_DIM_TIMES)
+
+
 @query("table_rebuilt", "SELECT stationcode, count(*) AS n FROM station_raw GROUP BY stationcode")
 def table_rebuilt(x: Inputs) -> DataFrame:
     """A full refresh, read back; a second refresh replaces the first."""

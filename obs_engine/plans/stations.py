@@ -65,7 +65,7 @@ RAW = TableSpec(
 DIM = TableSpec("dim_stations", ("station_id",), by_bucket("station_id"))
 FACT = TableSpec(
     "fct_station_status", ("observation_id",), by_day("status_updated_at"),
-    sort=("station_id", "status_updated_at"), protected=True,
+    sort=("station_id", "status_updated_at"), protected=True, lookup=("station_id",),
 )
 DAILY = TableSpec(
     "agg_station_daily", ("daily_station_id",), by_day("observation_date", column="observation_date"),
