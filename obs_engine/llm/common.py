@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from obs_engine.session import work_path
 
-__all__ = ["table", "fresh", "stored", "release", "worker_cache", "offsets", "dealt_join", "components"]
+__all__ = ["table", "fresh", "stored", "release", "worker_cache", "trimmed", "offsets", "dealt_join", "components"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +49,24 @@ def worker_cache(name: str) -> dict:
     return vars(sys).setdefault("_text_caches", {}).setdefault(name, {})
 
 
+def trimmed(run):
+    """A ``mapInArrow`` function whose worker gives free memory back to the system when it is through.
+
+    Workers stay for later tasks of other stages, which may run no Python at all.
+    """
+
+    def inner(batches):
+        import ctypes
+
+        import pyarrow as pa
+
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        ctypes.CDLL(None).malloc_trim(0)
+
+    return inner
+
+
 def offsets(counts: DataFrame, by: list[str], order: str, n: str, width: int = 1024) -> DataFrame:
     """Exclusive running sum of ``n`` in the order of the integer ``order`` within ``by``.
 

@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from obs_engine.llm.common import trimmed
 from obs_engine.llm.textvec import chunks, flat, lower_table
 
 FEATURES = 1 << 13
@@ -230,7 +231,7 @@ def _classified(docs: DataFrame, carried: list[str], folds: int, fold: int | Non
             *carried, "held_out", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected")
         )
     counted = (
-        train.select("text").mapInArrow(document_frequencies, "feature int, n long")
+        train.select("text").mapInArrow(trimmed(document_frequencies), "feature int, n long")
         .groupBy("feature").agg(F.sum("n").alias("n"))
     )
     df = {r["feature"]: r["n"] for r in counted.collect()}
@@ -249,7 +250,7 @@ def _classified(docs: DataFrame, carried: list[str], folds: int, fold: int | Non
     of = np.array([langs.index(r["lang"]) for r in found])
     model = (idf, np.ascontiguousarray(centroids))
     counted = (
-        train.select("text").mapInArrow(cosines(spark.sparkContext.broadcast(model), of, len(langs)), "cell long, n long")
+        train.select("text").mapInArrow(trimmed(cosines(spark.sparkContext.broadcast(model), of, len(langs))), "cell long, n long")
         .groupBy("cell").agg(F.sum("n").alias("n"))
     )
     n = np.zeros(len(langs) * LENGTHS * (STEPS + 1), np.int64)
@@ -259,4 +260,4 @@ def _classified(docs: DataFrame, carried: list[str], folds: int, fold: int | Non
     shared = spark.sparkContext.broadcast((*model, [r["lang"] for r in found], low))
     out = T.StructType().add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
     schema = T.StructType([*texts.schema.fields[:-2], *out.fields])
-    return texts.mapInArrow(classifier(shared), schema)
+    return texts.mapInArrow(trimmed(classifier(shared)), schema)

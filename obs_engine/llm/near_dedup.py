@@ -31,10 +31,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from obs_engine.llm.common import components, fresh, stored
+from obs_engine.llm.common import components, fresh, stored, trimmed
 from obs_engine.llm.textvec import BASE, chunks, flat, mix, shingles, word_hashes
 
 VALUES = 64
+#: Bytes of texts sketched at once.
+PART = 1 << 20
 #: A region with more members or shingles than this is crowded.
 REGION_DOCS, REGION_SHINGLES = 4096, 1 << 20
 #: Parts of a hot shingle's rows in a join.
@@ -65,7 +67,7 @@ def sketcher(size: int):
         for batch in batches:
             data, at = flat(batch.column(1))
             n, hi, lo, sig = [], [], [], []
-            for a, b in chunks(at):
+            for a, b in chunks(at, PART):
                 words, first = word_hashes(data[at[a] : at[b]], at[a : b + 1] - at[a])
                 for i in range(b - a):
                     s = shingles(words[first[i] : first[i + 1]], size)
@@ -117,7 +119,7 @@ def prefix_keys(depths: list[int], first: int):
 
 def keyed(reps: DataFrame, depths: list[int], first: int) -> DataFrame:
     return reps.select("rep", "signature", "n_shingles").mapInArrow(
-        prefix_keys(depths, first), "rep long, n_shingles long, tree int, keys array<long>"
+        trimmed(prefix_keys(depths, first)), "rep long, n_shingles long, tree int, keys array<long>"
     )
 
 
@@ -183,7 +185,7 @@ def shingler(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, at = flat(batch.column(2))
-            for a, b in chunks(at):
+            for a, b in chunks(at, PART):
                 words, first = word_hashes(data[at[a] : at[b]], at[a : b + 1] - at[a])
                 sets = [shingles(words[first[i] : first[i + 1]], size) for i in range(b - a)]
                 ends = np.cumsum([0, *map(len, sets)])
@@ -270,7 +272,7 @@ def exact_links(crowded: DataFrame, texts: DataFrame, groups: DataFrame, size: i
     # Texts with one doc_id may differ: each is a set of its own.
     sets = stored(
         left.join(texts.where("text is not null").withColumnRenamed("doc_id", "rep"), "rep").select("rep", "label", "text")
-        .mapInArrow(shingler(size), "rep long, label long, mark long, grams array<long>")
+        .mapInArrow(trimmed(shingler(size)), "rep long, label long, mark long, grams array<long>")
         .where(F.size("grams") > 0).dropDuplicates(["rep", "mark"]), "sets",
     )
     if sets.isEmpty():
@@ -303,7 +305,7 @@ def exact_links(crowded: DataFrame, texts: DataFrame, groups: DataFrame, size: i
         pairs.join(sets.select("rep", "mark", "grams"), ["rep", "mark"])
         .select("gram", "i", "j", "rep", "own", "label", "before", "grams")
         .repartition("gram", "i", "j").sortWithinPartitions("gram", "i", "j", "rep")
-        .mapInArrow(compare_parts(num, den), "a long, b long")
+        .mapInArrow(trimmed(compare_parts(num, den)), "a long, b long")
     )
 
 
@@ -350,7 +352,7 @@ def compare(size: int, num: int, den: int):
         for batch in batches:
             keys, reps = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             data, at = flat(batch.column(2))
-            for a, b in chunks(at):
+            for a, b in chunks(at, PART):
                 words, first = word_hashes(data[at[a] : at[b]], at[a : b + 1] - at[a])
                 for i in range(b - a):
                     if keys[a + i] != key:
@@ -372,7 +374,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
     """
     first = first_depth(num / den)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sketch = stored(texts.mapInArrow(sketcher(size), SKETCH), "sketch")
+    sketch = stored(texts.mapInArrow(trimmed(sketcher(size)), SKETCH), "sketch")
     same = ["set_hi", "set_lo"]
     classes = stored(
         sketch.where("doc_id is not null and set_hi is not null").groupBy(*same)
@@ -385,7 +387,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
     named = members.join(texts.withColumnRenamed("doc_id", "rep"), "rep").select("key", "rep", "text")
     links = (
         named.repartition("key").sortWithinPartitions("key", "rep")
-        .mapInArrow(compare(size, num, den), "a long, b long")
+        .mapInArrow(trimmed(compare(size, num, den)), "a long, b long")
     )
     # Rows of one doc_id with different texts are one document: their classes are linked.
     shared = (

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from obs_engine.llm.common import offsets, release, stored, worker_cache
+from obs_engine.llm.common import offsets, release, stored, trimmed, worker_cache
 
 CAPACITY = 2048
 END_ID = 1
@@ -198,7 +198,7 @@ def encoder(path: str, capacity: int):
 def encode(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
     """Ids of all documents and the pieces ``(start, length, class)`` they are cut into; every id is in exactly one."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(encoder(tokenizer_path, capacity), ENCODED)
+    return texts.mapInArrow(trimmed(encoder(tokenizer_path, capacity)), ENCODED)
 
 
 def first_fit(capacity: int):
@@ -282,4 +282,4 @@ def pack(encoded: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     layout = laid_out(pieces, capacity)
     of_doc = layout.groupBy("doc").agg(F.collect_list(F.struct("start", "length", "sequence_id", "offset")).alias("placed"))
     joined = rows.select("doc", "doc_id", "doc_tokens", "ids").join(of_doc, "doc")
-    return joined.select("doc_id", "doc_tokens", "ids", "placed").mapInArrow(assemble, PIECES)
+    return joined.select("doc_id", "doc_tokens", "ids", "placed").mapInArrow(trimmed(assemble), PIECES)

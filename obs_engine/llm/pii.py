@@ -11,13 +11,20 @@ function: one on pairs of numbers below two bounds, one on the halves of a strin
 positions each have an alphabet. Everything is built-in SQL functions; there is one scan
 and no shuffle, and only texts with a digit or one of a few marks are searched.
 
+A secret after a name and a colon counts as one if it has a digit, a sign before a letter,
+or is hexadecimal, so that prose after a colon stays; after an equals sign everything
+counts. Of a private key the lines between header and footer are permuted.
+
 Edge cases: null and empty texts stay as they are. A value that fails its check (Luhn,
-remainder, calendar) is not one of the kind and stays. Passwords and keys may have any
-length. Other columns pass unchanged.
+remainder, calendar) is not one of the kind and stays. Passwords, keys and texts may have
+any length. Equal values become equal pseudonyms wherever they stand, in repeated rows too.
+Other columns pass unchanged. An empty table stays empty.
 """
 
 from __future__ import annotations
 
+import secrets
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,21 +52,24 @@ def account_pattern() -> str:
     return rf"(?<![A-Za-z0-9])(?:{'|'.join(own)}|{other})(?![A-Za-z0-9])"
 
 
+# Fixed value: names before a secret.
+NAMES = r"(?<![A-Za-z0-9])(?i:passwords?|passwd|passphrase|pwd|client[_-]?secret|secrets?(?:[_-]?key)?|(?:auth|access)[_-]?token|tokens?|(?:api|access|private)[_-]?key)"
 # What each kind looks like (Java patterns), tried in this order.
 PATTERNS = {
     "email": r"(?<![\w.%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "account": account_pattern(),
-    "password": r"(?<![A-Za-z0-9])(?:[Pp]assword|[Pp]asswd|[Ss]ecret|[Tt]oken|[Aa]pi_?[Kk]ey) ?[=:] ?\"?[A-Za-z0-9][A-Za-z0-9_+/.-]{6,}+",
-    "access": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
-    "secret": r"(?<![A-Za-z0-9])[0-9a-f]{32,}+(?![A-Za-z0-9])",
+    "private": r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]{16,}+",
+    "password": NAMES + r" ?(?:=|:(?= ?[\"']?(?:[0-9a-f]{16}|[^\s\"']*[0-9]|[^\s\"']*[!@#$%^&*][A-Za-z]))) ?[\"']?[^\s\"'=:<>][^\s\"']{5,}+",
+    "access": r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[opsru]_[A-Za-z0-9]{20,}+|sk-[A-Za-z0-9]{20,}+)(?![A-Za-z0-9])",
+    "secret": r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)(?![A-Za-z0-9])",
     "date": r"(?<![0-9A-Za-z./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9A-Za-z])(?![./-][0-9])",
     "address": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9])(?!\.[0-9])",
     "social": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
     "card": r"(?<![0-9A-Za-z-])(?:[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}|[0-9]{13,19})(?![0-9A-Za-z])",
-    "phone": r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9A-Za-z])",
+    "phone": r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}|[0-9]{3} [0-9]{3} [0-9]{4})(?![0-9A-Za-z])(?! [0-9])",
 }
 ANY = "|".join(PATTERNS.values())
-ALPHABETS = "map('d', '0123456789', 'x', '0123456789abcdef', 'l', 'abcdefghijklmnopqrstuvwxyz', 'u', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ')"
+ALPHABETS = "map('d', '0123456789', 'x', '0123456789abcdef', 'l', 'abcdefghijklmnopqrstuvwxyz', 'u', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'h', 'ABCDEF')"
 #: Days from 1900-01-01 to 2099-12-31: 17 times 4297.
 DAYS = (17, 4297)
 
@@ -152,11 +162,18 @@ def pseudonym(key: str, reverse: bool) -> str:
         "z", f"concat(substr(m, 1, 2), lpad(cast(98 - {remainder_97("concat(w, substr(m, 1, 2), '00')")} as string), 2, '0'), w)",
         refilled("m", "z", "[A-Z0-9]"))))
     account = f"if({remainder_97('concat(substr(' + bare + ', 5), substr(m, 1, 4))')} = 1, {bban}, m)"
-    # Hexadecimal values stay so, and are linked whether or not a name stands before them.
-    hidden = let("h", "regexp_extract(m, '^[A-Za-z_]+ ?[=:] ?\"?', 0)", let("v", "substr(m, length(h) + 1)", (
-        f"concat(h, {sym('v', 'if(v rlike ' + quoted('^[0-9a-f]+$') + ', repeat(' + quoted('x') + ', length(v)), ' + marks('v') + ')', 'secret')})")))
+    # Long hexadecimal values stay so, and are linked whether or not a name stands before them.
+    # Of others, letters and digits are permuted in place and signs stay.
+    def own(v: str) -> str:
+        upper = f"regexp_replace(regexp_replace({v}, '[0-9]', 'd'), '[A-F]', 'h')"
+        lower, capital = quoted("^[0-9a-f]{16,}$"), quoted("^[0-9A-F]{16,}$")
+        return f"case when {v} rlike {lower} then repeat('x', length({v})) when {v} rlike {capital} then {upper} else {marks(v)} end"
+
+    header = quoted(f"^(?:{NAMES}) ?[=:] ?[\"']?")
+    hidden = let("h", f"regexp_extract(m, {header}, 0)", let("v", "substr(m, length(h) + 1)", f"concat(h, {sym('v', own('v'), 'secret')})"))
     access = f"concat(substr(m, 1, 4), {let('v', 'substr(m, 5)', sym('v', marks('v'), 'access'))})"
-    secret = sym("m", "repeat('x', length(m))", "secret")
+    secret = sym("m", own("m"), "secret")
+    private = let("h", "regexp_extract(m, '^-----BEGIN [A-Z ]*PRIVATE KEY-----', 0)", let("v", "substr(m, length(h) + 1)", f"concat(h, {sym('v', marks('v'), 'private')})"))
     first, second, year = (f"cast(substr(m, {i}, {n}) as int)" for i, n in ((1, 2), (4, 2), (7, 4)))
     month_first = f"m like '__/%' and {second} > 12"
     notation = "case when m like '____-%' then 'yyyy-MM-dd' when m like '__.%' then 'dd.MM.yyyy' else 'dd/MM/yyyy' end"
@@ -191,22 +208,27 @@ def pseudonym(key: str, reverse: bool) -> str:
     phone = let("h", r"regexp_extract(m, '^([+][0-9]{1,3}(?=[ .(-])|[+][0-9])?', 0)", let(
         "v", "substr(m, length(h) + 1)", let("w", "regexp_replace(v, '[^0-9]', '')", let(
             "z", sym("w", "repeat('d', length(w))", "phone"), f"concat(h, {refilled('v', 'z')})"))))
-    cases = {"email": email, "account": account, "password": hidden, "access": access, "secret": secret, "date": days, "address": dotted,
+    cases = {"email": email, "account": account, "private": private, "password": hidden, "access": access, "secret": secret, "date": days, "address": dotted,
              "social": social, "card": card, "phone": phone}
     whens = " ".join(f"when m rlike {quoted('^(?:' + PATTERNS[k] + ')$')} then {v}" for k, v in cases.items())
     return f"case {whens} else m end"
 
 
+def run_key(spark) -> str:
+    """The secret named by ``spark.obs_engine.pii.key``; without one, a run draws its own and keeps it to itself."""
+    return spark.conf.get("spark.obs_engine.pii.key", None) or secrets.token_hex(32)
+
+
 def pseudonymise(docs: DataFrame, key: str, reverse: bool = False) -> DataFrame:
     """``docs`` with personal data in ``text`` replaced; ``n_replaced`` says how many values.
 
+    A column of that name in ``docs`` passes unchanged; the count's then has underscores behind it.
     ``key`` is the secret of the permutation: it appears in the query plan, so plans and
     event logs must be kept like the key. With ``reverse`` pseudonyms are undone.
     """
     search = quoted(ANY)
-    docs = docs.drop("n_replaced")
-    found, new, between = fresh(docs, "found", "new", "between")
-    likely = F.col("text").rlike("[0-9@=:]|A[KS]IA")
+    found, new, between, count = fresh(docs, "found", "new", "between", "n_replaced")
+    likely = F.col("text").rlike("[0-9@=:]|A[KS]IA|gh[a-z]_|sk-|-----BEGIN")
     has = F.coalesce(F.size(found) > 0, F.lit(False))
     pairs = f"zip_with(slice({between}, 1, size({new})), {new}, (b, n) -> concat(b, n))"
     text = F.expr(f"concat(array_join({pairs}, ''), element_at({between}, -1))")
@@ -216,6 +238,6 @@ def pseudonymise(docs: DataFrame, key: str, reverse: bool = False) -> DataFrame:
         .withColumn(new, F.when(has, F.expr(f"transform({found}, m -> {pseudonym(key, reverse)})")))
         .withColumn(between, F.when(has, F.expr(f"split(text, {search}, -1)")))
         .withColumn("text", F.when(has, text).otherwise(F.col("text")))
-        .withColumn("n_replaced", F.when(has, changed).otherwise(F.lit(0)))
+        .withColumn(count, F.when(has, changed).otherwise(F.lit(0)))
         .drop(found, new, between)
     )

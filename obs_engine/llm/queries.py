@@ -51,13 +51,9 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-#: Key of the pseudonyms the query writes; a production run passes its own secret.
-PII_KEY = "corpus-2026"
-
-
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pii.pseudonymise(docs, PII_KEY)
+    return pii.pseudonymise(docs, pii.run_key(spark))
 
 
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
