@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obs_engine.llm import decontaminate, language_id, near_dedup, packing, pii
-from obs_engine.llm.common import stored, table
-from obs_engine.llm.queries import PII_KEY, tokenizer
+from obs_engine.llm.common import fresh, stored, table
+from obs_engine.llm.queries import tokenizer
 
 
 def recognised_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,10 +35,11 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pseudonymised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data in the texts become pseudonyms; ``n_chars`` follows the text."""
-    found = pii.pseudonymise(docs, PII_KEY)
+    count = fresh(docs, "n_replaced")[0]
+    found = pii.pseudonymise(docs, pii.run_key(spark))
     if "n_chars" in docs.columns:
         n = F.char_length("text").cast(docs.schema["n_chars"].dataType)
-        found = found.withColumn("n_chars", F.when(F.col("n_replaced") > 0, n).otherwise(F.col("n_chars")))
+        found = found.withColumn("n_chars", F.when(F.col(count) > 0, n).otherwise(F.col("n_chars")))
     return found.select(*docs.columns)
 
 
