@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import dataclasses
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +18,7 @@ from obs_engine.functions.keys import day_of, surrogate_key, time_text
 from obs_engine.functions.metrics import mean2, weighted_mean
 from obs_engine.operators import aggregates as agg
 from obs_engine.operators import dedup, joins, lookup, merge, quality, retention, serve, snapshot
-from obs_engine.operators.runs import ARC_RUNS, constraint_report, run_rules
+from obs_engine.operators.runs import ARC_RUNS, STATION_RUNS, constraint_report, run_rules
 from obs_engine.plans import arcs, checks, dimensions, feed, incremental, jobs, stations
 from obs_engine.plans.oracles import (
     ARC_DESCRIPTION,
@@ -725,6 +725,65 @@ def stored_dimension_corrected(x: Inputs) -> DataFrame:
     return wh.read(arcs.DIM).select("arc_id", *_DIM_TIMES)
 
 
+_SERVED = """served AS (
+  SELECT l_suppkey AS s, l_shipdate + to_hours(((l_linenumber % 2) * 12)::INT) AS due, l_quantity::INT - 1 AS bikes,
+    CASE WHEN l_suppkey % 33 = 0 THEN NULL WHEN l_suppkey % 25 = 0 THEN 0 ELSE 30 + l_suppkey % 25 END AS capacity
+  FROM lineitem
+  QUALIFY row_number() OVER (PARTITION BY l_suppkey, l_shipdate, l_linenumber % 2 ORDER BY l_orderkey, l_linenumber) = 1)"""
+
+
+def _station_job(x: Inputs, label: str) -> merge.Warehouse:
+    """A complete station run over landed page files, made twice."""
+    path, wh = work_path(x.spark, f"{label}-pages"), _warehouse(x, label)
+    x.write_station_pages(path)
+    jobs.run_stations(wh, path, "r1", STATION_AS_OF, monthly=True)
+    jobs.run_stations(wh, path, "r2", STATION_AS_OF + timedelta(hours=1), monthly=True)
+    return wh
+
+
+@query(
+    "station_job_rows",
+    f"""WITH {_SERVED}
+SELECT s::VARCHAR AS stationcode, due::VARCHAR AS last_reported, bikes AS num_bikes_available,
+  coalesce(capacity, 0) - bikes AS num_docks_available, capacity,
+  CASE WHEN s % 17 <> 0 THEN 2 + (s % 90) / 100 END AS lon, CASE WHEN s % 17 <> 0 THEN 48 + (s % 80) / 100 END AS lat,
+  ({STATION_NOW})::VARCHAR AS ingested_at FROM served""",
+)
+def station_job_rows(x: Inputs) -> DataFrame:
+    """Typed raw rows of landed station pages, with their load time; a second run changes none."""
+    return _station_job(x, "station-rows").read(STATION_RAW).select(
+        "stationcode", "last_reported", "num_bikes_available", "num_docks_available", "capacity", "lon", "lat", "ingested_at"
+    )
+
+
+@query(
+    "station_job_daily",
+    f"""WITH {_SERVED}
+SELECT s::VARCHAR AS station_id, due::DATE::VARCHAR AS observation_date, count(*) AS observation_count,
+  min(bikes) AS minimum_bikes_available, max(bikes) AS maximum_bikes_available FROM served GROUP BY 1, 2""",
+)
+def station_job_daily(x: Inputs) -> DataFrame:
+    """From landed station pages to the stored daily aggregate."""
+    return _station_job(x, "station-daily").read(stations.DAILY.monthly()).select(
+        "station_id", "observation_date", "observation_count", "minimum_bikes_available", "maximum_bikes_available"
+    )
+
+
+@query(
+    "station_job_log",
+    f"""WITH {_SERVED}, months AS (SELECT count(*) AS n FROM served GROUP BY date_trunc('month', due))
+SELECT run, 'success' AS status, sum((n + 99) // 100)::BIGINT AS pages_fetched, sum(n)::BIGINT AS reported_total,
+  sum(n)::BIGINT AS records_received, (CASE WHEN run = 'r1' THEN sum(n) ELSE 0 END)::BIGINT AS records_inserted,
+  (CASE WHEN run = 'r1' THEN 0 ELSE sum(n) END)::BIGINT AS duplicates_ignored
+FROM months, (VALUES ('r1'), ('r2')) AS v(run) GROUP BY run""",
+)
+def station_job_log(x: Inputs) -> DataFrame:
+    """Fetch figures of the station feed, in the rows both runs wrote."""
+    return _station_job(x, "station-log").read(STATION_RUNS).select(
+        F.col("run_id").alias("run"), "status", "pages_fetched", "reported_total", "records_received", "records_inserted", "duplicates_ignored"
+    )
+
+
 @query("table_rebuilt", "SELECT stationcode, count(*) AS n FROM station_raw GROUP BY stationcode")
 def table_rebuilt(x: Inputs) -> DataFrame:
     """A full refresh, read back; a second refresh replaces the first."""

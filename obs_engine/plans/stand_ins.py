@@ -12,7 +12,7 @@ from datetime import datetime, timezone
 from decimal import Decimal
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, TimestampNTZType, TimestampType
 
@@ -332,6 +332,44 @@ class Inputs:
             shape.alias("geo_shape"),
         )
 
+    def write_station_pages(self, path: str, per_page: int = 100) -> None:
+        """Station reports as API pages in the ``files`` layout, one chunk per month.
+
+        Of reports of one station and instant the first order line's is served, as a page
+        set holds a record once.
+        """
+        line, supp = F.col("l_linenumber"), F.col("l_suppkey")
+        slot = Window.partitionBy("l_suppkey", "l_shipdate", line % 2).orderBy("l_orderkey", "l_linenumber")
+        li = self.table("lineitem").withColumn("_r", F.row_number().over(slot)).where("_r = 1")
+        bikes = F.col("l_quantity").cast("int") - 1
+        capacity = F.when(supp % 33 != 0, F.when(supp % 25 == 0, 0).otherwise(30 + supp % 25)).cast("int")
+        # Two notations of one instant.
+        at = F.col("l_shipdate").cast("timestamp_ntz") + _hours((line % 2) * 12)
+        iso = "yyyy-MM-dd'T'HH:mm:ss"
+        due = F.when(supp % 2 == 0, F.concat(F.date_format(at, iso), F.lit("+00:00"))).otherwise(
+            F.concat(F.date_format(at + _hours(F.lit(2)), iso), F.lit("+02:00"))
+        )
+        record = F.struct(
+            supp.cast("string").alias("stationcode"), F.concat(F.lit("station "), supp).alias("name"),
+            F.when(supp % 20 == 0, "NON").otherwise("OUI").alias("is_installed"), capacity.alias("capacity"),
+            (F.coalesce(capacity, F.lit(0)) - bikes).alias("numdocksavailable"), bikes.alias("numbikesavailable"),
+            (bikes - bikes % 3).alias("mechanical"), (bikes % 3).alias("ebike"), F.lit("OUI").alias("is_renting"),
+            F.lit("OUI").alias("is_returning"), due.alias("duedate"),
+            F.when(supp % 17 != 0, F.struct((2 + supp % 90 / 100).alias("lon"), (48 + supp % 80 / 100).alias("lat"))).alias("coordonnees_geo"),
+            F.concat(F.lit("commune "), supp % 20).alias("nom_arrondissement_communes"),
+            (75000 + supp % 20).cast("string").alias("code_insee_commune"),
+        )
+        month = (F.year("l_shipdate") * 12 + F.month("l_shipdate")).alias("chunk")
+        order = Window.partitionBy("chunk").orderBy("l_suppkey", "l_orderkey", "l_linenumber")
+        rows = li.select(month, "l_suppkey", "l_orderkey", "l_linenumber", record.alias("r"))
+        rows = rows.withColumn("n", F.row_number().over(order) - 1)
+        totals = rows.groupBy("chunk").agg(F.count(F.lit(1)).alias("total_count"))
+        pages = rows.groupBy("chunk", F.expr(f"n div {per_page} * {per_page}").alias("offset")).agg(
+            F.sort_array(F.collect_list(F.struct("n", "r"))).alias("rs")
+        )
+        document = F.to_json(F.struct("total_count", F.transform("rs", lambda x: x["r"]).alias("results")))
+        pages.join(totals, "chunk").select("chunk", "offset", document.alias("value")).write.partitionBy("chunk", "offset").text(path)
+
     def page_documents(self, per_page: int = 100) -> DataFrame:
         """The events as API pages, one chunk per day: JSON lines ``value``.
 
