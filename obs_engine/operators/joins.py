@@ -46,13 +46,6 @@ def differs(a: Column | str, b: Column | str) -> Column:
     return ~left.eqNullSafe(F.col(b) if isinstance(b, str) else b)
 
 
-def rows_differ(columns: Sequence[str], left: str, right: str) -> Column:
-    """Row form of ``IS DISTINCT FROM`` over ``<left>_c`` / ``<right>_c`` columns."""
-    a = F.struct(*[F.col(f"{left}{c}").alias(c) for c in columns])
-    b = F.struct(*[F.col(f"{right}{c}").alias(c) for c in columns])
-    return ~a.eqNullSafe(b)
-
-
 def reconcile(
     detail: DataFrame, agg: DataFrame, on: Sequence[str], pairs: Sequence[tuple[str, str]]
 ) -> DataFrame:

@@ -39,7 +39,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from datetime import date, datetime, timedelta, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -114,12 +114,14 @@ def classify(
     return batch.join(hits, list(key), "left").withColumn(ACTION, action).drop("_changed")
 
 
+def action_figures() -> dict[str, Column]:
+    actions = {a: F.count_if(F.col(ACTION) == a) for a in (INSERTED, UPDATED, UNCHANGED)}
+    return {"received": F.count(F.lit(1)), **actions}
+
+
 def action_counts(classified: DataFrame) -> DataFrame:
     """One row ``received, inserted, updated, unchanged``."""
-    return classified.agg(
-        F.count(F.lit(1)).alias("received"),
-        *[F.count_if(F.col(ACTION) == a).alias(a) for a in (INSERTED, UPDATED, UNCHANGED)],
-    )
+    return classified.agg(*[c.alias(n) for n, c in action_figures().items()])
 
 
 def upserted(
@@ -404,12 +406,18 @@ class Warehouse:
 
     # writing
 
-    def stage(self, df: DataFrame, label: str) -> DataFrame:
-        """Write ``df`` to the shared folder and read it back: lineage is cut there."""
+    def stage(self, df: DataFrame, label: str, **figures: Column) -> DataFrame:
+        """Write ``df`` to the shared folder and read it back: lineage is cut there.
+
+        ``figures`` are aggregates observed while the rows are written, so that no job of
+        their own counts them; they are kept with the staged table.
+        """
         path = work_path(self.spark, label)
-        df.write.mode("error").parquet(path)
+        seen = Observation() if figures else None
+        rows = df.observe(seen, *[c.alias(n) for n, c in figures.items()]) if seen else df
+        rows.write.mode("error").parquet(path)
         staged = self.spark.read.schema(df.schema).parquet(path)
-        staged._obs_path = path
+        staged._obs_path, staged._obs_figures = path, seen.get if seen else {}
         return staged
 
     def release(self, *staged: DataFrame) -> None:
@@ -453,17 +461,23 @@ class Warehouse:
         self._replace(spec, self._with_partition(spec, df))
         return self.read(spec)
 
-    def near(self, spec: TableSpec, values: DataFrame) -> DataFrame:
+    @staticmethod
+    def extent(part: str) -> dict[str, Column]:
+        """Figures of a partition column that :meth:`near` needs."""
+        return {"low": F.min(part), "high": F.max(part), "n": F.count(F.lit(1)), "known": F.count(part)}
+
+    def near(self, spec: TableSpec, values: DataFrame, extent: dict | None = None) -> DataFrame:
         """The table's partitions whose value is among ``values(<partition>)``.
 
         The range of the values prunes partitions when the scan is planned, the join
-        those between when it runs; no list of values passes through the driver.
+        those between when it runs; no list of values passes through the driver. A range
+        that was observed when the values were staged is not computed again.
         """
         part = spec.partition
         table = self.read(spec, with_partition=True)
-        low, high, n, known = values.agg(
-            F.min(part), F.max(part), F.count(F.lit(1)), F.count(part)
-        ).first()
+        if extent is None:
+            extent = values.agg(*[c.alias(k) for k, c in self.extent(part).items()]).first().asDict()
+        low, high, n, known = (extent[k] for k in ("low", "high", "n", "known"))
         if not n:
             return table.filter(F.lit(False))
         wanted = values.select(part).distinct().filter(F.col(part).between(F.lit(low), F.lit(high)))
@@ -478,12 +492,13 @@ class Warehouse:
         compare: Sequence[str] | None,
         update: bool,
     ) -> MergeResult:
-        staged = self.stage(self._with_partition(spec, batch), f"{spec.name}-batch")
         part = spec.partition
+        staged = self.stage(self._with_partition(spec, batch), f"{spec.name}-batch", **self.extent(part))
+        extent = staged._obs_figures
         on = [*spec.key, *([] if part in spec.key else [part])]
         require_unique(staged, spec.key)
         if not self.exists(spec):
-            n = staged.count()
+            n = extent["n"]
             self._replace(spec, staged)
             self.release(staged)
             return MergeResult(n, n, 0, 0)
@@ -491,9 +506,12 @@ class Warehouse:
         old = {f.name: f.dataType for f in self.schema(spec).fields}
         new = {f.name: f.dataType for f in staged.schema.fields}
         changed_shape = any(new.get(c) != t for c, t in old.items())
-        aligned = conform(self.near(spec, staged), staged.schema)
-        marked = self.stage(classify(aligned, staged, on, compare), f"{spec.name}-classified")
-        counts = action_counts(marked).first()
+        aligned = conform(self.near(spec, staged, extent), staged.schema)
+        # Counted while it is written: by the tasks whose rows are kept, replays included.
+        marked = self.stage(
+            classify(aligned, staged, on, compare), f"{spec.name}-classified", **action_figures()
+        )
+        counts = marked._obs_figures
         result = MergeResult(counts["received"], *(counts[a] for a in (INSERTED, UPDATED, UNCHANGED)))
         hot = F.max((F.col(ACTION) == UPDATED) & F.lit(update))
         parts = self.stage(marked.groupBy(part).agg(hot.alias("_rewritten")), f"{spec.name}-partitions")

@@ -115,11 +115,6 @@ def parse_arcs(
     )
 
 
-def transform_arc(records: DataFrame, ingested_at: datetime | None, run_id: str) -> DataFrame:
-    """The raw columns of ``parse_arcs`` for records known to be good."""
-    return parse_arcs(records, ingested_at, run_id).select(*ARC_RAW.fieldNames())
-
-
 def stage_arcs(raw: DataFrame) -> DataFrame:
     """Observation key and presence flags (P11-P13); raw is unique on its key."""
     columns = [c for c in ARC_RAW.fieldNames() if c not in LOAD_COLUMNS]
