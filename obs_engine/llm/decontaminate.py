@@ -17,6 +17,8 @@ while they number at most ``TERMS``; more are joined by a shuffle.
 Edge cases: null and empty texts have no words. An item of fewer words than ``window``
 is one phrase. Rows with one ``doc_id`` are told apart by their text; equal rows each
 get the result. Several items with one ``item_id`` count as one.
+Of equally rare words the first of a phrase is looked up. Long texts are read whole. With
+an empty table on either side nothing matches.
 """
 
 from __future__ import annotations

@@ -16,6 +16,7 @@ Edge cases: a null text, or one without a letter, is ``und`` with score 0 and re
 trigram says nothing of its language and is not rejected.
 Without any training text all are ``und``. A row without ``doc_id`` is classified but
 not learned from. Ties go to the language first in the alphabet.
+Long texts are classified whole, repeated rows alike. An empty table gives no rows.
 """
 
 from __future__ import annotations

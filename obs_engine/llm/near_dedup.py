@@ -19,7 +19,9 @@ full sets or is in one group already.
 
 Edge cases: a null or blank text has no shingles and links with nothing. Rows with one
 ``doc_id`` count as one document. A row without ``doc_id`` belongs to no group
-(``component_id`` null, ``kept`` true).
+(``component_id`` null, ``kept`` true). Long texts are compared on all their shingles. Of a
+group the smallest ``doc_id`` stays, so ties do not arise. Columns other than ``doc_id``
+and ``text`` are not read. An empty table gives no rows.
 """
 
 from __future__ import annotations

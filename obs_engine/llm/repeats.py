@@ -23,6 +23,9 @@ own spans, and nothing is collected.
 
 Edge cases: a null text is empty. Rows with one ``doc_id`` and the same text are repeats
 of each other; rows with one ``doc_id`` and different texts are told apart by the text.
+Long texts are searched whole, in parts that overlap by a string. Which of several equal
+windows is kept as the partner makes no difference. Other columns are not read. An empty
+table gives no rows.
 """
 
 from __future__ import annotations

@@ -12,8 +12,10 @@ over counts) plus its rank within its part. A source with a third of all rows is
 over as many parts as it needs. Everything is DataFrame operations.
 
 Edge cases: a null source is a source of its own. Ties and repeated rows stand side by
-side in the order. Columns called ``shard`` or ``slot`` are replaced. An empty table
-gives no rows.
+side in the order. Columns called ``shard`` or ``slot`` are replaced. Long texts
+are only hashed. An empty table gives no rows. Copies of one text are dealt like any other
+rows: with counts at most one apart, a group larger than a shard could not stay together,
+and spread evenly no shard holds more copies than its share.
 """
 
 from __future__ import annotations

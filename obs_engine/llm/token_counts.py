@@ -10,7 +10,8 @@ byte pieces in the vocabulary it counts one piece per UTF-8 byte, else a run of
 unknown characters counts one.
 
 Words already counted are remembered per worker up to a fixed number of words. A null
-or empty text has no tokens.
+or empty text has no tokens, a long one is counted whole, repeated rows count alike. An
+empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@ weight vector per classifier and the calibration counts.
 
 Edge cases: a null or empty text has no words and gets the score of the intercept.
 Several labels of one document: toxic if any says so. Without toxic labels every score
-is 0. A row without ``doc_id`` is scored but not learned from.
+is 0. A row without ``doc_id`` is scored but not learned from. Long texts are
+scored whole, equal texts alike, so there are no ties to break. An empty table gives no rows.
 """
 
 from __future__ import annotations
