@@ -61,3 +61,9 @@ def test_status_view_reads_only_what_it_needs(spark):
 
     plan = plan_of(serve.arc_count(Inputs(spark, SF).arc_current))
     assert "ReadSchema" in plan and "props" not in plan.split("ReadSchema")[1].split("\n")[0]
+
+
+def test_all_checks_scan_each_table_once(spark):
+    """17 tables, one of them a union of two."""
+    plan = plan_of(QUERIES["all_checks"](spark, SF))
+    assert plan.count("Scan parquet") <= 18 and "Join" not in plan.replace("BroadcastHashJoin", "", 1).replace("SortMergeJoin", "", 1)
