@@ -368,6 +368,23 @@ class Warehouse:
         technical = spec.partition.startswith(TECHNICAL)
         return df.drop(spec.partition) if technical and not with_partition else df
 
+    def counted(self, spec: TableSpec, within: Column | None = None) -> DataFrame:
+        """One row ``n``, the rows of some partitions, from file footers: no column is read.
+
+        Only Spark's newer Parquet source takes a count down to the footers, so the table
+        is read through that one here. ``within`` may use the partition column alone.
+        """
+        conf, listed = self.spark.conf, "spark.sql.sources.useV1SourceList"
+        conf.set("spark.sql.parquet.aggregatePushdown", "true")  # of no effect on other reads
+        before = conf.get(listed)
+        conf.set(listed, ",".join(s for s in before.split(",") if s.strip() != "parquet"))
+        try:
+            table = self.spark.read.schema(self.schema(spec)).parquet(self.path(spec))
+        finally:
+            conf.set(listed, before)
+        some = table if within is None else table.filter(within)
+        return some.agg(F.count(F.lit(1)).alias("n"))
+
     def _log(self, spec: TableSpec, rows: DataFrame, kind: str, version: str | None = None) -> None:
         """Append the newest load times of ``rows`` to the table's log."""
         names = [c for c in LOAD_COLUMNS if c in rows.columns]
@@ -563,25 +580,21 @@ class Warehouse:
         table = self.read(spec, with_partition=True)
         if within is not None:
             table = table.filter(within)
-        tally = (
-            table.groupBy(part)
-            .agg(F.count(F.lit(1)).alias("n"), F.count_if(expired).alias("gone"))
-            .filter(F.col("gone") > 0)
-            .collect()  # one row per affected partition
-        )
-        partly = [r[part] for r in tally if r["gone"] < r["n"]]
-        emptied = [r[part] for r in tally if r["gone"] == r["n"]]
-        if partly:
-            chosen = F.col(part).isin([v for v in partly if v is not None])
-            if None in partly:
-                chosen = chosen | F.col(part).isNull()
-            keep = table.filter(chosen & ~F.coalesce(expired, F.lit(False)))
+        tally = table.groupBy(part).agg(F.count(F.lit(1)).alias("n"), F.count_if(expired).alias("gone"))
+        total = F.coalesce(F.sum("gone"), F.lit(0))
+        tally = self.stage(tally.filter(F.col("gone") > 0), f"{spec.name}-expired", total=total)
+        deleted = tally._obs_figures["total"]
+        partly = tally.filter("gone < n").select(part)
+        if not partly.isEmpty():
+            keep = self.near(spec, partly).filter(~F.coalesce(expired, F.lit(False)))
             self._write(spec, keep, "overwrite", dynamic=True)
-        for value in emptied:
-            # A dynamic overwrite never empties a partition, so drop it.
-            folder = NULL_PARTITION if value is None else value
+        # A dynamic overwrite never empties a partition, so its folder goes; the names
+        # arrive one by one.
+        for row in tally.filter("gone = n").select(F.col(part).cast("string")).toLocalIterator():
+            folder = NULL_PARTITION if row[0] is None else row[0]
             self.delete_path(f"{self.path(spec)}/{part}={folder}")
-        return sum(r["gone"] for r in tally)
+        self.release(tally)
+        return deleted
 
     @property
     def database(self) -> str:

@@ -7,8 +7,9 @@ engine-neutral by ``portable``.
 from __future__ import annotations
 
 import dataclasses
+import functools
 from collections.abc import Callable
-from datetime import datetime, timedelta, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from obs_engine.functions import parsing as p
 from obs_engine.functions.keys import day_of, surrogate_key, time_text
 from obs_engine.functions.metrics import mean2, weighted_mean
 from obs_engine.operators import aggregates as agg
-from obs_engine.operators import dedup, joins, lookup, merge, quality, retention, serve, snapshot
+from obs_engine.operators import dedup, joins, lookup, merge, quality, retention, serve, sketches, snapshot
 from obs_engine.operators.runs import ARC_RUNS, STATION_RUNS, constraint_report, run_rules
 from obs_engine.plans import arcs, checks, dimensions, feed, incremental, jobs, stations
 from obs_engine.plans.oracles import (
@@ -199,6 +200,40 @@ def distinct_counts(x: Inputs) -> DataFrame:
     )
 
 
+_USER_DAYS = "d AS (SELECT DISTINCT ts::DATE AS day, user_id FROM events WHERE user_id IS NOT NULL)"
+
+
+def _sketched(x: Inputs, label: str) -> DataFrame:
+    """Sketches of the events' users, stored in three loads, one of them twice."""
+    wh = _warehouse(x, label)
+    for n in (0, 1, 2, 1):
+        load = x.table("events").filter(F.pmod("event_id", F.lit(3)) == n)
+        sketches.add_rows(wh, sketches.SEEN, load, "user_id", "ts")
+    return wh.read(sketches.SEEN)
+
+
+@query(
+    "sketched_trailing_week",
+    f"""WITH {_USER_DAYS}
+SELECT t.day::VARCHAR AS observation_date, count(DISTINCT CASE WHEN d.day = t.day THEN user_id END) AS entities,
+  count(DISTINCT user_id) AS entities_in_span,
+  count(DISTINCT user_id) - count(DISTINCT CASE WHEN d.day = t.day THEN user_id END) AS lost
+FROM (SELECT DISTINCT day FROM d) AS t JOIN d ON d.day BETWEEN t.day - 6 AND t.day GROUP BY t.day""",
+)
+def sketched_trailing_week(x: Inputs) -> DataFrame:
+    """Distinct entities of each trailing week and those missing on its last day, from stored sketches."""
+    return sketches.trailing(_sketched(x, "week"), 7)
+
+
+@query(
+    "sketched_span",
+    "SELECT count(DISTINCT user_id) AS entities FROM events WHERE ts::DATE BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'",
+)
+def sketched_span(x: Inputs) -> DataFrame:
+    """Distinct entities of a span of days, from stored sketches."""
+    return sketches.distinct_between(_sketched(x, "span"), date(2024, 1, 5), date(2024, 1, 20))
+
+
 @query(
     "weighted_daily_mean",
     f"""WITH daily AS (SELECT user_id, ts::DATE AS d, count(*) AS n,
@@ -1750,6 +1785,101 @@ def snapshot_row_counts(x: Inputs) -> DataFrame:
     )
 
 
+_GUARDED = retention.Policy(
+    station_raw_days=8900, station_fact_months=290, arc_raw_days=7, arc_fact_months=1, run_months=282
+)
+_EXPIRING = ("station_raw", "station_fact", "arc_raw", "arc_fact", "station_runs", "arc_runs")
+_GUARDED_CUTS = {
+    "station_raw": f"ingested_at < {ARC_NOW} - INTERVAL 8900 DAY",
+    "station_fact": f"status_updated_at < {ARC_NOW} - INTERVAL 290 MONTH",
+    "arc_upserted": f"ingested_at < {ARC_NOW} - INTERVAL 7 DAY",
+    "arc_staged": f"observed_at < {ARC_NOW} - INTERVAL 1 MONTH",
+    "station_runs": f"started_at < {ARC_NOW} - INTERVAL 282 MONTH",
+    "arc_runs": f"started_at < {ARC_NOW} - INTERVAL 282 MONTH",
+}
+
+
+def _stored_feeds(x: Inputs, label: str) -> merge.Warehouse:
+    """The tables of both feeds, the station ones by month."""
+    wh = _warehouse(x, label)
+    stored = {
+        STATION_RAW: x.station_raw, stations.DIM: x.station_dim, STATION_FACT: x.station_fact,
+        stations.DAILY.monthly(): x.station_daily, STATION_RUNS: x.station_log,
+        arcs.RAW: x.arc_raw, arcs.DIM: x.arc_dim, arcs.FACT: x.arc_fact, arcs.DAILY: x.arc_daily, ARC_RUNS: x.arc_log,
+    }
+    for spec, df in stored.items():
+        wh.rebuild(spec, df)
+    return wh
+
+
+@query(
+    "retention_stored_candidates",
+    "SELECT "
+    + ", ".join(
+        f"(SELECT count(*) FROM {t.replace('upserted', 'base')} WHERE {cut}) AS {name}_candidates"
+        for name, (t, cut) in zip(_EXPIRING, _GUARDED_CUTS.items())
+    )
+    + ", (SELECT count(*) FROM station_daily) AS station_daily_preserved,"
+    " (SELECT count(*) FROM arc_daily) AS arc_daily_preserved",
+)
+def retention_stored_candidates(x: Inputs) -> DataFrame:
+    """Of stored tables, whole partitions counted from file footers."""
+    return retention.stored_preview(_stored_feeds(x, "preview"), _GUARDED, ARC_AS_OF, monthly=True)
+
+
+@query(
+    "retention_guarded_job",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS \"table\", count(*) FILTER ({cut}) AS deleted, "
+        f"count(*) FILTER (({cut}) IS NOT TRUE) AS kept, count(*) AS restored FROM {t}"
+        for name, (t, cut) in zip(_EXPIRING, _GUARDED_CUTS.items())
+    ),
+)
+def retention_guarded_job(x: Inputs) -> DataFrame:
+    """Two snapshots, the second of what a correction changed, both verified; expired
+    rows deleted; the rows of before restored from the second."""
+    wh = _stored_feeds(x, "guarded")
+    first, second = work_path(x.spark, "first"), work_path(x.spark, "second")
+    snapshot.snapshot(wh, first)
+    snapshot.verify_snapshot(wh, first, ARC_AS_OF)
+    wh.upsert(arcs.RAW, x.arc_batch, arcs.COMPARED)
+    manifest = snapshot.snapshot(wh, second, base=first)
+    snapshot.verify_snapshot(wh, second, ARC_AS_OF)
+    deleted = retention.apply_retention(
+        wh, _GUARDED, ARC_AS_OF, True, retention.CONFIRMATION, second, monthly=True
+    )
+    rows = []
+    for name, rule in retention.rules(_GUARDED, ARC_AS_OF, monthly=True).items():
+        copy = snapshot.read_copy(wh, second, rule.spec.name, manifest)
+        kept, restored = wh.counted(rule.spec).withColumnRenamed("n", "kept"), copy.agg(F.count(F.lit(1)).alias("restored"))
+        gone = F.lit(deleted[f"{name}_deleted"]).cast("long").alias("deleted")
+        rows.append(agg.side_by_side(kept, restored).select(F.lit(name).alias("table"), gone, "kept", "restored"))
+    return functools.reduce(DataFrame.unionByName, rows)
+
+
+@query(
+    "snapshot_changed_days",
+    f"""WITH u AS (
+  SELECT arc_id, observed_at, ingested_at FROM arc_base WHERE observed_at < TIMESTAMP '{_HALF}'
+  UNION ALL SELECT arc_id, observed_at, ingested_at FROM arc_upserted WHERE observed_at >= TIMESTAMP '{_HALF}')
+SELECT u.observed_at::DATE::VARCHAR AS day, count(*) AS n_rows,
+  bool_or(b.arc_id IS NULL OR u.ingested_at IS DISTINCT FROM b.ingested_at) AS copied
+FROM u LEFT JOIN arc_base AS b ON u.arc_id = b.arc_id AND u.observed_at = b.observed_at
+GROUP BY 1""",
+)
+def snapshot_changed_days(x: Inputs) -> DataFrame:
+    """The second snapshot of a table copies the days that a correction of the newer half touched."""
+    wh = _warehouse(x, "changed-days")
+    wh.rebuild(arcs.RAW, x.arc_raw)
+    first, second = work_path(x.spark, "first"), work_path(x.spark, "second")
+    snapshot.snapshot(wh, first, [arcs.RAW])
+    snapshot.verify_content(wh, first, ARC_AS_OF)
+    late = F.col("observed_at") >= F.lit(_HALF).cast("timestamp")
+    wh.upsert(arcs.RAW, x.arc_batch.filter(late), arcs.COMPARED)
+    snapshot.snapshot(wh, second, [arcs.RAW], base=first)
+    return snapshot.partition_report(wh, second, arcs.RAW.name).select(F.col("partition").alias("day"), "n_rows", "copied")
+
+
 # -- streaming ----------------------------------------------------------------
 
 
