@@ -1654,14 +1654,60 @@ FROM all_runs WHERE pipeline_name = 'Trafic routier' AND status IN ('success', '
 )
 def serve_filtered(x: Inputs) -> DataFrame:
     """Dashboard filters; an empty selection means everything."""
-    chosen = {"pipeline_name": ["Trafic routier"], "status": ["success", "failed"], "dag_id": []}
     return agg.side_by_side(
-        serve.success_rate(x.all_runs, chosen),
-        serve.run_count(x.all_runs, chosen),
-        serve.records_received(x.all_runs, chosen),
+        serve.success_rate(x.all_runs, _CHOSEN),
+        serve.run_count(x.all_runs, _CHOSEN),
+        serve.records_received(x.all_runs, _CHOSEN),
     )
 
 
+_CHOSEN = {"pipeline_name": ["Trafic routier"], "status": ["success", "failed"], "dag_id": []}
+_CHOSEN_SQL = "pipeline_name = 'Trafic routier' AND status IN ('success', 'failed')"
+
+
+@query(
+    "serve_filtered_duration",
+    f"""SELECT {half_up('sum(ms)', '10 * count(*)')}::DOUBLE / 100 AS average_duration_seconds
+FROM all_runs WHERE {_CHOSEN_SQL}""",
+)
+def serve_filtered_duration(x: Inputs) -> DataFrame:
+    """K22, K3"""
+    return serve.average_duration(x.all_runs, _CHOSEN)
+
+
+@query(
+    "serve_filtered_series",
+    f"""SELECT date_trunc('minute', started_at)::VARCHAR AS started_at, NULL::DOUBLE AS "Vélib",
+  sum(ms)::DOUBLE / 1000 / count(*) AS "Trafic routier"
+FROM all_runs WHERE {_CHOSEN_SQL} GROUP BY 1""",
+)
+def serve_filtered_series(x: Inputs) -> DataFrame:
+    """A feed that is not chosen keeps its column, without values."""
+    return serve.duration_series(x.all_runs, _CHOSEN)
+
+
+@query(
+    "serve_filtered_volumes",
+    f"""SELECT pipeline_name, sum(received)::BIGINT AS records_received,
+  sum(inserted)::BIGINT AS records_inserted, sum(unchanged)::BIGINT AS records_unchanged
+FROM all_runs WHERE {_CHOSEN_SQL} GROUP BY 1""",
+)
+def serve_filtered_volumes(x: Inputs) -> DataFrame:
+    """K22, K6"""
+    return serve.volumes(x.all_runs, _CHOSEN)
+
+
+@query(
+    "serve_filtered_runs",
+    f"""SELECT pipeline_name, {text('started_at')}, status, {_RUN_OUT}, duration_seconds,
+  records_per_second FROM all_runs WHERE {_CHOSEN_SQL}
+ORDER BY all_runs.started_at DESC, pipeline_run_id DESC LIMIT 20""",
+)
+def serve_filtered_runs(x: Inputs) -> DataFrame:
+    """The newest of the chosen runs, not the chosen of the newest."""
+    return serve.latest_runs(x.all_runs, _CHOSEN)
+
+
 @query(
     "serve_failed_runs",
     f"SELECT run_id, {text('started_at')}, error_message FROM station_runs WHERE NOT is_success",
