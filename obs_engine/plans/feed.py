@@ -7,18 +7,28 @@ on, and another is published one poll late.
 
 from __future__ import annotations
 
-from datetime import datetime
+import sys
+from datetime import datetime, timedelta, timezone
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from obs_engine.plans.stand_ins import Inputs
 
 NEVER = 1 << 30
+EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
+
+# The feed is asked by Python workers, which need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def feed_records(x: Inputs) -> DataFrame:
-    """``(t, event_id, since, until, record)``: each version of each record, and the polls that see it."""
+    """``(t, event_id, since, until, record)``: each version of each record, and the polls that see it.
+
+    ``t`` is in microseconds: whole numbers are stored alike, with their ranges, under every
+    setting of the session, timestamps by default without zone and range.
+    """
     n = F.col("event_id")
     turns = F.when(n % 10 == 0, 1).when(n % 10 == 5, 2).otherwise(NEVER)
     old = F.struct(F.when(n % 10 == 3, 1).otherwise(0).alias("since"), turns.alias("until"), F.lit(0).alias("more"))
@@ -26,7 +36,7 @@ def feed_records(x: Inputs) -> DataFrame:
     versions = x.table("events").withColumn("v", F.explode(F.array(old, new))).where(F.col("v.since") < F.col("v.until"))
     record = x.arc_record(F.round(F.col("value") + F.col("v.more"), 2))
     return versions.select(
-        F.col("ts").cast("timestamp").alias("t"), "event_id", "v.since", "v.until", F.to_json(record).alias("record")
+        F.unix_micros(F.col("ts").cast("timestamp")).alias("t"), "event_id", "v.since", "v.until", F.to_json(record).alias("record")
     )
 
 
@@ -37,20 +47,22 @@ class StoredFeed:
         self.path, self.poll = path, poll
 
     def __call__(self, low: datetime, high: datetime, offset: int, size: int) -> dict:
+        import json
+
         records = self.window(low, high)
-        return {"total_count": len(records), "results": records[offset : offset + size]}
+        page = records.slice(offset, size).to_pylist()
+        return {"total_count": len(records), "results": [json.loads(r) for r in page]}
 
-    def window(self, low: datetime, high: datetime) -> list[dict]:
+    def window(self, low: datetime, high: datetime):
         """Records of one chunk in time order; pages of a chunk are asked for one after the other."""
-        import json
-
         import pyarrow.dataset as ds
 
         asked = (low, high)
         if getattr(self, "_asked", None) != asked:
             c = ds.field
-            seen = (c("since") <= self.poll) & (c("until") > self.poll) & (c("t") >= low) & (c("t") <= high)
+            low_t, high_t = ((at - EPOCH) // timedelta(microseconds=1) for at in asked)
+            seen = (c("since") <= self.poll) & (c("until") > self.poll) & (c("t") >= low_t) & (c("t") <= high_t)
             table = ds.dataset(self.path, format="parquet").to_table(columns=["t", "event_id", "record"], filter=seen)
             table = table.sort_by([("t", "ascending"), ("event_id", "ascending")])
-            self._asked, self._records = asked, [json.loads(r) for r in table.column("record").to_pylist()]
+            self._asked, self._records = asked, table.column("record")
         return self._records

@@ -1 +1,11 @@
-"""Reading: landed API pages, injected page providers, time windows, tables."""
+"""Reading: landed API pages, injected page providers, time windows, tables.
+
+The page sources run in Python workers and are pickled by value, so executors need no
+copy of this package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
