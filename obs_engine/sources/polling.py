@@ -47,7 +47,8 @@ def instant(text: str | None) -> datetime | None:
 
 class PollReader(DataSourceStreamReader):
     def __init__(self, options: dict):
-        self.options = dict(options)
+        # Spark's options ignore case, a copy of them would not: what the pages need is taken by name.
+        self.options = {k: options[k] for k in ("provider", "pageSize", "maxRecords") if k in options}
         self.now, self.watermark = instant(options.get("now")), instant(options.get("watermark"))
         self.hours = int(options.get("chunkHours", CHUNK_HOURS))
         self.overlap = int(options.get("overlapHours", OVERLAP_HOURS))
