@@ -2,7 +2,10 @@
 
 Both run on ``transformWithState``. A row older than the watermark is dropped, the rest is
 taken in event-time order. A key's state is one row and one timer; when the watermark
-passes the time after which no row can change the result, the timer clears it. So state
+passes the time after which no row can change the result, the timer clears it. First rows
+are kept by slots, hash parts of the keys: a slot's state holds the keys that were seen and
+when each is forgotten, its one timer the next of these times, so the calls to the state
+store follow the slots of a micro-batch and not its keys. So state
 holds the keys of the last ``horizon`` only, not all keys ever seen, and with the RocksDB
 store it lies on disk beside the executor and, by its change log, in the checkpoint.
 
@@ -11,19 +14,23 @@ Nulls: a row without event time, or with a null key, is no observation and is le
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator, Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from obs_engine.streaming.flows import event_time
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
+# Hash parts of the keys whose first rows are kept.
+SLOTS = 4096
+
 
 def micros(value: datetime) -> int:
     value = value if value.tzinfo else value.replace(tzinfo=timezone.utc)
@@ -79,33 +86,76 @@ class LatestRow(Expiring):
         return row["event_micros"] // 1000 + 1
 
 
-class FirstRow(Expiring):
-    def choose(self, kept, rows):
-        return rows[0] if kept is None else None
+class FirstRows(StatefulProcessor):
+    """The first row of each key of a slot; a key is remembered until its first row's ``last_millis``."""
 
-    def until(self, row):
-        return row["last_millis"]
+    def __init__(self, key: Sequence[str], columns: Sequence[str]):
+        self.key_names, self.columns = list(key), list(columns)
 
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.kept = handle.getValueState("kept", StructType([StructField("keys", BinaryType())]))
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        mark = timerValues.getCurrentWatermarkInMs()
+        live = [r for r in rows if r["event_micros"] >= mark * 1000]
+        if not live:
+            return
+        live.sort(key=lambda r: (r["event_micros"], r["tie"]))
+        known = self.known()
+        before, soonest = len(known), min(known.values(), default=None)
+        for r in live:
+            name = tuple(r[c] for c in self.key_names)
+            if name not in known:
+                known[name] = r["last_millis"]
+                yield Row(**{c: r[c] for c in [*self.key_names, *self.columns]})
+        if len(known) > before:
+            self.keep(known)
+            self.wake(min(known.values()), soonest)
 
-def _run(df: DataFrame, processor: type[Expiring], key: Sequence[str], ts: str, tie: str, horizon: str, last) -> DataFrame:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        mark = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs() + 1)
+        known = {k: until for k, until in self.known().items() if until >= mark}
+        if known:
+            self.keep(known)
+            self.wake(min(known.values()), None)
+        else:
+            self.kept.clear()
+        return iter(())
+
+    def known(self) -> dict[tuple, int]:
+        stored = self.kept.get()
+        return pickle.loads(bytes(stored[0])) if stored else {}
+
+    def keep(self, known: dict[tuple, int]) -> None:
+        self.kept.update((pickle.dumps(known),))
+
+    def wake(self, at: int, planned: int | None) -> None:
+        if at == planned:
+            return
+        if planned is not None:
+            self.handle.deleteTimer(planned)
+        self.handle.registerTimer(at)
+
+
+def _timed(df: DataFrame, key: Sequence[str], ts: str, tie: str, horizon: str, last) -> DataFrame:
+    """Rows that are observations, with the columns that the processors go by."""
     df.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    named = event_time(df, ts).dropna(subset=[ts, *key])
-    rows = (
-        named.withWatermark(ts, horizon)
+    return (
+        event_time(df, ts).dropna(subset=[ts, *key]).withWatermark(ts, horizon)
         .withColumn("event_micros", F.unix_micros(ts)).withColumn("tie", F.coalesce(F.col(tie).cast("long"), F.lit(-1)))
         .withColumn("last_millis", last)
     )
-    columns = [c for c in df.columns if c not in key]
-    state = StructType.fromDDL("event_micros BIGINT, tie BIGINT")
-    run = processor(state, columns)
-    run.key_names = list(key)
-    out = StructType([named.schema[c] for c in [*key, *columns]])
-    return rows.groupBy(*key).transformWithState(run, out, "Update", "EventTime")
 
 
 def expiring_latest(df: DataFrame, key: Sequence[str], ts: str, tie: str, horizon: str) -> DataFrame:
     """Each key's newest row whenever it changes, by ``ts`` and the whole number ``tie``."""
-    return _run(df, LatestRow, key, ts, tie, horizon, F.lit(0).cast("long"))
+    rows = _timed(df, key, ts, tie, horizon, F.lit(0).cast("long"))
+    columns = [c for c in df.columns if c not in key]
+    run = LatestRow(StructType.fromDDL("event_micros BIGINT, tie BIGINT"), columns)
+    run.key_names = list(key)
+    out = StructType([rows.schema[c] for c in [*key, *columns]])
+    return rows.groupBy(*key).transformWithState(run, out, "Update", "EventTime")
 
 
 def expiring_first(df: DataFrame, key: Sequence[str], ts: str, tie: str, horizon: str, last: str) -> DataFrame:
@@ -114,4 +164,8 @@ def expiring_first(df: DataFrame, key: Sequence[str], ts: str, tie: str, horizon
     ``last`` is a column with the latest event time a row of the key can have; state is
     kept until the watermark is past it.
     """
-    return _run(df, FirstRow, key, ts, tie, horizon, F.unix_millis(F.col(last).cast("timestamp")) + 1)
+    rows = _timed(df, key, ts, tie, horizon, F.unix_millis(F.col(last).cast("timestamp")) + 1)
+    columns = [c for c in df.columns if c not in key]
+    out = StructType([rows.schema[c] for c in [*key, *columns]])
+    slots = rows.withColumn("_slot", F.pmod(F.xxhash64(*key), F.lit(SLOTS)))
+    return slots.groupBy("_slot").transformWithState(FirstRows(key, columns), out, "Update", "EventTime")
