@@ -1938,9 +1938,15 @@ def _event_files(x: Inputs) -> str:
     return path
 
 
+def _files(x: Inputs, path: str) -> int:
+    return len(x.spark.read.parquet(path).inputFiles())
+
+
 def _event_stream(x: Inputs) -> DataFrame:
+    """Two micro-batches, one for each writing, however many files these took."""
+    path = _event_files(x)
     return flows.stream_files(
-        x.spark, _event_files(x), x.table("events").schema, files_per_trigger=1
+        x.spark, path, x.table("events").schema, files_per_trigger=-(-_files(x, path) // 2)
     )
 
 
@@ -1955,7 +1961,8 @@ def stream_upsert(x: Inputs) -> DataFrame:
     checkpoint = work_path(x.spark, "checkpoint")
     for batch in (x.arc_raw, x.arc_batch):
         batch.write.mode("append").parquet(path)
-        stream = flows.stream_files(x.spark, path, x.arc_raw.schema, files_per_trigger=1)
+        # A load is one micro-batch, however many files it took: each rewrites what it changes.
+        stream = flows.stream_files(x.spark, path, x.arc_raw.schema, files_per_trigger=_files(x, path))
         _finish(flows.upsert_stream(
             stream, wh, arcs.RAW, arcs.COMPARED, ["ingested_at"], checkpoint
         ))
