@@ -4,11 +4,15 @@ A check is compiled to *contributions*: what a row of some table says about a ke
 check. Row checks contribute one to no key, and only for rows that fail; a uniqueness check
 its key; a relationship the child's key on the left and the parent's on the right; a
 comparison of facts with their aggregates one key per entity and day, with counts on both
-sides. Every table is read once, its rows expanded into their contributions; contributions
+sides. Every table is read once, its rows unpivoted into their contributions; contributions
 of one check and key are added up, partially before the shuffle, and then one row per check
 is left. So 194 checks over 17 tables are 17 scans and two aggregations, whatever the
 number of checks on a table.
 
+The row checks of a table are one contribution, the set of checks that a row fails as bits:
+a row without faults has none, and the sets that occur are few. The sides of a key are
+subtracted, so a key needs its rows on either side and one difference per measure.
+
 A null key says nothing. A key that two stored aggregate rows share counts once, with their
 sums.
 """
@@ -27,6 +31,12 @@ from obs_engine.operators.quality import TableChecks
 #: Counts that a key can have on one side.
 MEASURES = 3
 
+#: A contribution: what it is about, its key, rows on either side, left less right measures.
+ENTRY = ("entry", "key", "l", "r", *[f"d{i}" for i in range(1, MEASURES + 1)])
+
+#: Row checks whose outcomes share a contribution: the bits of a positive long.
+BITS = 62
+
 # How failures follow from the keys of a check.
 ROWS, UNIQUE, PARENT, COUNT, PRESENT, EQUAL = "rows", "unique", "parent", "count", "present", "equal"
 
@@ -84,28 +94,45 @@ class CheckPlan:
 
     # the compiled plan
 
+    def _blocks(self) -> list[tuple[str, list[str]]]:
+        """Row checks by table, in blocks of at most ``BITS``."""
+        return [
+            (table, names[i : i + BITS])
+            for table, names in ((t, list(checks)) for t, checks in self.rows.items())
+            for i in range(0, len(names), BITS)
+        ]
+
     def contributions(self, table: str, df: DataFrame) -> DataFrame:
-        """``check, key, nl, l1.., nr, r1..`` of one table, from one scan of it."""
+        """``entry, key, l, r, d1..`` of one table, from one scan of it.
+
+        ``entry`` is the number of a check, or a negative one for a block of row checks, whose
+        key is the set of those that fail.
+        """
         numbers = {c: i for i, c in enumerate(self.kinds)}
-        none, zero = F.lit(None).cast("string"), F.lit(0).cast("long")
-
-        def entry(check: str, key: Column, right: bool, measures: Sequence[Column]) -> Column:
-            own = [F.lit(1).cast("long"), *[F.coalesce(m.cast("long"), zero) for m in measures]]
-            own += [zero] * (MEASURES + 1 - len(own))
-            other = [zero] * (MEASURES + 1)
-            left_, right_ = (other, own) if right else (own, other)
-            named = [v.alias(f"{s}{i}") for s, side in (("l", left_), ("r", right_)) for i, v in enumerate(side)]
-            return F.struct(F.lit(numbers[check]).alias("check"), key.alias("key"), *named)
-
-        failing = [F.when(c, entry(n, none, False, ())) for n, c in self.rows.get(table, {}).items()]
-        keyed = []
+        zero = F.lit(0).cast("long")
+        entries: list[tuple[int, Column, bool, Sequence[Column]]] = []
+        for block, (owner, names) in enumerate(self._blocks()):
+            if owner == table:
+                bits = [F.when(self.rows[table][n], F.lit(1 << i)).otherwise(0) for i, n in enumerate(names)]
+                failing = reduce(lambda a, b: a.bitwiseOR(b), [b.cast("long") for b in bits])
+                entries.append((-1 - block, F.when(failing != 0, failing.cast("string")), False, ()))
         for s in self.sides.get(table, ()):
             known = reduce(lambda a, b: a & b, [k.isNotNull() for k in s.key])
             ok = known if s.where is None else known & s.where
-            text = F.concat_ws("\x1f", *[k.cast("string") for k in s.key])
-            keyed.append(F.when(ok, entry(s.check, text, s.right, s.measures)))
-        all_ = F.filter(F.array(*failing, *keyed), lambda x: x.isNotNull())
-        return df.select(F.explode(all_).alias("c")).select("c.*")
+            texts = [k.cast("string") for k in s.key]
+            text = texts[0] if len(texts) == 1 else F.concat_ws("\x1f", *texts)
+            entries.append((numbers[s.check], F.when(ok, text), s.right, s.measures))
+        named: list[Column] = []
+        for i, (number, key, right, measures) in enumerate(entries):
+            counts = [F.coalesce(m.cast("long"), zero) for m in measures]
+            counts += [zero] * (MEASURES - len(counts))
+            one = F.lit(1).cast("long")
+            values = [F.lit(number), key, *((zero, one) if right else (one, zero)), *[-m if right else m for m in counts]]
+            named += [v.alias(f"{c}_{i}") for c, v in zip(ENTRY, values)]
+        rows = ", ".join("(" + ", ".join(f"{c}_{i}" for c in ENTRY) + ")" for i in range(len(entries)))
+        wide, names = df.select(*named), ", ".join(ENTRY)
+        long = f"SELECT {names} FROM {{wide}} UNPIVOT INCLUDE NULLS (({names}) FOR side IN ({rows})) WHERE key IS NOT NULL"
+        return df.sparkSession.sql(long, wide=wide)
 
     def results(self, tables: Mapping[str, DataFrame]) -> DataFrame:
         """``check, severity, failures, status`` of every check whose tables are given."""
@@ -115,28 +142,29 @@ class CheckPlan:
         if missing := sorted(wanted - set(tables)):
             raise KeyError(f"tables of declared checks are missing: {', '.join(missing)}")
         parts = [self.contributions(t, tables[t]) for t in used]
-        sums = [f"{s}{i}" for s in "lr" for i in range(MEASURES + 1)]
-        per_key = reduce(DataFrame.union, parts).groupBy("check", "key").agg(*[F.sum(c).alias(c) for c in sums])
         col = F.col
-        pairs = [(f"l{i}", f"r{i}") for i in range(1, MEASURES + 1)]
-        differ = reduce(lambda a, b: a | b, [col(a) != col(b) for a, b in pairs])
+        per_key = reduce(DataFrame.union, parts).groupBy("entry", "key").agg(*[F.sum(c).alias(c) for c in ENTRY[2:]])
+        differ = reduce(lambda a, b: a | b, [col(c) != 0 for c in ENTRY[4:]])
         figures = {
-            ROWS: F.sum("l0"),
-            UNIQUE: F.count_if(col("l0") > 1),
-            PARENT: F.sum(F.when(col("r0") == 0, col("l0")).otherwise(0)),
+            ROWS: F.sum("l"),
+            UNIQUE: F.count_if(col("l") > 1),
+            PARENT: F.sum(F.when(col("r") == 0, col("l")).otherwise(0)),
             # Keys on the left against rows on the right.
-            COUNT: (F.count_if(col("l0") > 0) != F.sum("r0")).cast("long"),
-            PRESENT: F.count_if((col("l0") > 0) & ((col("r0") == 0) | differ)),
-            EQUAL: F.count_if((col("l0") == 0) | (col("r0") == 0) | differ),
+            COUNT: (F.count_if(col("l") > 0) != F.sum("r")).cast("long"),
+            PRESENT: F.count_if((col("l") > 0) & ((col("r") == 0) | differ)),
+            EQUAL: F.count_if((col("l") == 0) | (col("r") == 0) | differ),
         }
-        found = per_key.groupBy("check").agg(*[f.alias(k) for k, f in figures.items()])
+        # One row per keyed check, and per block and set of failing row checks.
+        failing = F.when(col("entry") < 0, col("key")).cast("long").alias("failing")
+        found = per_key.groupBy("entry", failing).agg(*[f.alias(k) for k, f in figures.items()])
+        bits = {n: (-1 - b, 1 << i) for b, (_, names) in enumerate(self._blocks()) for i, n in enumerate(names)}
         listed = spark.createDataFrame(
-            [(i, n, self.kinds[n], self.severities[n]) for i, n in enumerate(self.kinds)],
-            "number INT, name STRING, kind STRING, severity STRING",
-        )
-        failures = F.coalesce(*[F.when(col("kind") == k, col(k)) for k in figures], F.lit(0))
-        joined = listed.join(found, listed.number == found.check, "left")
-        status = F.when(failures == 0, "pass").when(col("severity") == "warn", "warn").otherwise("fail")
-        return joined.select(
-            col("name").alias("check"), "severity", failures.cast("long").alias("failures"), status.alias("status")
+            [(n, k, self.severities[n], *bits.get(n, (i, None))) for i, (n, k) in enumerate(self.kinds.items())],
+            "name STRING, kind STRING, severity STRING, source INT, bit LONG",
         )
+        hit = col("bit").isNull() | (col("bit").bitwiseAND(col("failing")) != 0)
+        joined = listed.join(found, (col("source") == col("entry")) & hit, "left")
+        failures = F.coalesce(F.sum(F.coalesce(*[F.when(col("kind") == k, col(k)) for k in figures])), F.lit(0))
+        totals = joined.groupBy("name", "severity").agg(failures.cast("long").alias("failures"))
+        status = F.when(col("failures") == 0, "pass").when(col("severity") == "warn", "warn").otherwise("fail")
+        return totals.select(col("name").alias("check"), "severity", "failures", status.alias("status"))

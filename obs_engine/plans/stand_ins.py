@@ -21,7 +21,7 @@ from obs_engine.functions.parsing import EXACT
 from obs_engine.operators.runs import all_runs, arc_runs, station_runs
 from obs_engine.plans import arcs, stations
 from obs_engine.schemas import ARC_RAW, ARC_RUN, STATION_RAW, STATION_RUN
-from obs_engine.session import pin_utc
+from obs_engine.session import pin_utc, work_path
 
 # Clocks of the derived feeds: shortly after their last observation.
 ARC_AS_OF = datetime(2024, 1, 31, 6, tzinfo=timezone.utc)
@@ -62,6 +62,12 @@ class Inputs:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
+    def keep(self, name: str) -> None:
+        """Write a derived table to the shared folder; what is built on it from now on reads it there."""
+        df, path = getattr(self, name), work_path(self.spark, name.replace("_", "-"))
+        df.write.parquet(path)
+        setattr(self, name, self.spark.read.schema(df.schema).parquet(path))
+
     # arcs
 
     @cached_property
