@@ -359,8 +359,7 @@ class Warehouse:
         path = f"{self.home(spec)}/{version}"
         self._write(spec, full, "error", dynamic=False, path=path)
         written = self.spark.read.schema(full.schema).parquet(path)
-        for kind in (TOUCHED, STORED):
-            self._log(spec, written, kind, version)
+        self._log(spec, written, (TOUCHED, STORED), version)
         self._switch(spec, version, full.schema)
         if old:
             self.delete_path(old)
@@ -395,20 +394,22 @@ class Warehouse:
         some = table if within is None else table.filter(within)
         return some.agg(F.count(F.lit(1)).alias("n"))
 
-    def _log(self, spec: TableSpec, rows: DataFrame, kind: str, version: str | None = None) -> None:
-        """Append the newest load times of ``rows`` to the table's log."""
+    def _log(self, spec: TableSpec, rows: DataFrame, kinds: Sequence[str], version: str | None = None) -> None:
+        """Append the newest load times of ``rows`` to the table's log; they are read once for all kinds."""
         names = [c for c in LOAD_COLUMNS if c in rows.columns]
-        part = F.col(spec.partition) if kind == TOUCHED else F.lit(None).cast(rows.schema[spec.partition].dataType)
         newest = [F.max(F.unix_micros(F.col(c).cast("timestamp"))).alias(c) for c in names]
-        table = rows.groupBy(part.alias("part")).agg(*newest, F.count(F.lit(1)).alias("n"))
+        parts = rows.groupBy(F.col(spec.partition).alias("part")).agg(*newest, F.count(F.lit(1)).alias("n"))
+        listed = parts.select(F.explode(F.array(*[F.lit(k) for k in kinds])).alias("kind"), "*")
+        part = F.when(F.col("kind") == TOUCHED, F.col("part")).alias("part")
+        table = listed.groupBy("kind", part).agg(*[F.max(c).alias(c) for c in names], F.sum("n").alias("n"))
         each = F.explode(F.map_from_arrays(
             F.array(*[F.lit(c) for c in names]).cast("array<string>"),
             F.array(*[F.col(c) for c in names]).cast("array<bigint>"),
         )).alias("column", "micros")
         version = version or self._pointer(spec)["version"]
-        table.select(F.lit(kind).alias("kind"), "part", each).filter("micros is not null").coalesce(1).write.mode(
-            "append"
-        ).parquet(f"{self.home(spec)}/{version}-loads")
+        table.select("kind", "part", each).filter("micros is not null").coalesce(1).write.mode("append").parquet(
+            f"{self.home(spec)}/{version}-loads"
+        )
 
     def _loads(self, spec: TableSpec, kind: str, loaded: str) -> DataFrame:
         part = self.read(spec, with_partition=True).schema[spec.partition].dataType.simpleString()
@@ -572,14 +573,14 @@ class Warehouse:
             return result
         if list(old) != list(new):
             self._switch(spec, self._pointer(spec)["version"], staged.schema)
-        self._log(spec, loads, TOUCHED)
+        self._log(spec, loads, (TOUCHED,))
         if counts[INSERTED]:
             self._write(spec, within(fresh, rewritten=False), "append", dynamic=False)
         if update and counts[UPDATED]:
             kept = within(aligned, rewritten=True)
             new = within(changed, rewritten=True)
             self._write(spec, delete_inserted(kept, new, on), "overwrite", dynamic=True)
-        self._log(spec, loads, STORED)
+        self._log(spec, loads, (STORED,))
         self.release(staged, *written)
         return result
 

@@ -1847,15 +1847,21 @@ _GUARDED_CUTS = {
 
 
 def _stored_feeds(x: Inputs, label: str) -> merge.Warehouse:
-    """The tables of both feeds, the station ones by month."""
+    """The tables of both feeds, the station ones by month.
+
+    What follows from the facts is built on the stored ones, so staging is done once.
+    """
     wh = _warehouse(x, label)
-    stored = {
-        STATION_RAW: x.station_raw, stations.DIM: x.station_dim, STATION_FACT: x.station_fact,
-        stations.DAILY.monthly(): x.station_daily, STATION_RUNS: x.station_log,
-        arcs.RAW: x.arc_raw, arcs.DIM: x.arc_dim, arcs.FACT: x.arc_fact, arcs.DAILY: x.arc_daily, ARC_RUNS: x.arc_log,
-    }
-    for spec, df in stored.items():
-        wh.rebuild(spec, df)
+    wh.rebuild(STATION_RAW, x.station_raw)
+    fact = wh.rebuild(STATION_FACT, x.station_fact)
+    wh.rebuild(stations.DIM, stations.station_dim(fact))
+    wh.rebuild(stations.DAILY.monthly(), stations.station_daily(fact))
+    wh.rebuild(STATION_RUNS, x.station_log)
+    wh.rebuild(arcs.RAW, x.arc_raw)
+    fact = wh.rebuild(arcs.FACT, x.arc_fact)
+    wh.rebuild(arcs.DIM, arcs.arc_dim(fact))
+    wh.rebuild(arcs.DAILY, arcs.arc_daily(fact))
+    wh.rebuild(ARC_RUNS, x.arc_log)
     return wh
 
 
