@@ -87,20 +87,26 @@ def test_staged_pages_go_before_the_records_are_merged(spark, tmp_path):
 
 @pytest.mark.parametrize("layout", [by_day("at"), by_bucket("id", 5)])
 def test_many_staged_rows_are_written_in_ranges_of_whole_partitions(spark, tmp_path, monkeypatch, layout):
-    spec, written = TableSpec("readings", ("id", "at"), layout), []
+    spec, written, classified = TableSpec("readings", ("id", "at"), layout), [], []
 
     class Watched(Warehouse):
         def _write(self, spec, df, *args, **named):
             written.append({r[0] for r in df.select(spec.partition).distinct().collect()})
             super()._write(spec, df, *args, **named)
 
-    monkeypatch.setattr(merge, "LAID_OUT_ROWS", 6)
+        def stage(self, df, label, keep=None, more=(), **figures):
+            if label.endswith("classified"):
+                classified.append(1 + len(more))
+            return super().stage(df, label, keep, more, **figures)
+
+    for most in ("LAID_OUT_ROWS", "CLASSIFIED_ROWS"):
+        monkeypatch.setattr(merge, most, 6)
     wh = Watched(spark, str(tmp_path / "warehouse"))
     assert wh.insert_ignore(spec, readings(spark, 8)).inserted == 25
     first, added = len(written), readings(spark, 8, at=datetime(2025, 1, 1)).dropna()
     assert wh.insert_ignore(spec, added).inserted == 24
     assert wh.insert_ignore(spec, added).unchanged == 24
-    assert first > 2 and len(written) > first + 2
+    assert first > 2 and len(written) > first + 2 and min(classified) > 2
     for part in (written[:first], written[first:]):
         assert sum(map(len, part)) == len(set().union(*part))
     whole = readings(spark, 8).unionByName(added)
